@@ -75,50 +75,69 @@ def plain(col: Column) -> Column:
     out = _translate(F.regexp_replace(col, f"[{INVISIBLE}]", ""), STYLED_ONE)
     for a, b in STYLED_MORE.items():
         out = F.replace(out, F.lit(a), F.lit(b))
-    return F.when(col.rlike("[^\\x09\\x0a\\x0d\\x20-\\x7e]"), out).otherwise(col)
+    return out
+
 
+def really_foreign(text: Column) -> Column:
+    """Whether the text has a word of another script, i.e. one with a letter that looks like no Latin one."""
+    alone = "".join(ALIKE_ALONE)
+    return text.rlike(f"(?<![\\p{{L}}\\p{{M}}])[{FOREIGN}\\p{{M}}]*[{FOREIGN}&&[^{alone}]][{FOREIGN}\\p{{M}}]*(?![\\p{{L}}\\p{{M}}])")
 
-def settled(text: Column) -> Column:
+
+def settled(text: Column, real: Column) -> Column:
     """Second half, on the result of plain: look-alike letters of other scripts.
 
     Such a letter is mapped in a word that also has Latin letters, or in a word made of look-alikes only while the text
     has no word that really is of another script.
     """
     alone = "".join(ALIKE_ALONE)
-    real = text.rlike(f"(?<![\\p{{L}}\\p{{M}}])[{FOREIGN}\\p{{M}}]*[{FOREIGN}&&[^{alone}]][{FOREIGN}\\p{{M}}]*(?![\\p{{L}}\\p{{M}}])")
     words = F.regexp_extract_all(text, F.lit("(?s)([\\p{L}\\p{M}]+|[^\\p{L}\\p{M}]+)"), F.lit(1))
 
     def word(w: Column) -> Column:
-        beside = w.rlike("\\p{IsLatin}") & w.rlike(f"[{FOREIGN}]")
-        only = w.rlike(f"^[{alone}\\p{{M}}]+$") & ~real
-        return F.when(beside, _translate(w, ALIKE_MAP)).when(only, _translate(w, ALIKE_ALONE)).otherwise(w)
+        foreign = w.rlike(f"[{FOREIGN}]")
+        return F.when(~foreign, w).when(w.rlike("\\p{IsLatin}"), _translate(w, ALIKE_MAP)).when(~real & w.rlike(f"^[{alone}\\p{{M}}]+$"), _translate(w, ALIKE_ALONE)).otherwise(w)
+
+    return F.array_join(F.transform(words, word), "")
+
+
+#: A text without such a character passes every mapping untouched: beside ASCII these are single Latin letters,
+#: typographic quotes, dashes, bullets and the ellipsis.
+ODD = "[^\\x09\\x0a\\x0d\\x20-\\x7e\\xa1-\\xac\\xae-\\u024f–—‘’“”†•…]"
+
+
+CONTROL = "[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]"
+
 
-    return F.when(text.rlike(f"[{FOREIGN}]"), F.array_join(F.transform(words, word), "")).otherwise(text)
+def _has(col: Column, beyond_ascii: str) -> Column:
+    """Whether a text has a control character or one of the given class; ASCII texts are told by their length in bytes."""
+    return F.when(F.octet_length(col) == F.char_length(col), col.rlike(CONTROL)).otherwise(col.rlike(beyond_ascii))
 
 
 def with_folded(df: DataFrame, text: str, out: str) -> DataFrame:
     """df with a column `out`: the look-alike mapping of string column `text`.
 
-    Tabs, line breaks, typographic quotes, dashes and bullets stay. Null gives null, '' gives ''. Two steps, so that
-    the planner evaluates the first one once.
+    Tabs, line breaks, typographic quotes, dashes and bullets stay. Null gives null, '' gives ''. In steps, so that the
+    planner evaluates each once; texts without odd characters skip them.
     """
-    return df.withColumn("__plain", plain(F.col(text))).withColumn(out, settled(F.col("__plain"))).drop("__plain")
+    staged = df.withColumn("__odd", _has(F.col(text), ODD)).withColumn("__plain", F.when(F.col("__odd"), plain(F.col(text))).otherwise(F.col(text)))
+    staged = staged.withColumn("__foreign", F.when(F.col("__odd"), F.col("__plain").rlike(f"[{FOREIGN}]")))
+    staged = staged.withColumn("__real", F.when(F.col("__foreign"), really_foreign(F.col("__plain"))))
+    return staged.withColumn(out, F.when(F.col("__foreign"), settled(F.col("__plain"), F.col("__real"))).otherwise(F.col("__plain"))).drop("__plain", "__odd", "__foreign", "__real")
 
 
 def with_same_form(df: DataFrame, text: str, out: str) -> DataFrame:
     """with_folded, and letters with separate accents composed: one form for keys of other operators."""
-    return with_folded(df, text, "__folded").withColumn(out, compose(F.col("__folded"))).drop("__folded")
+    return with_folded(df.withColumn("__any", _has(F.col(text), ODD)), text, "__folded").withColumn(out, F.when(F.col("__any"), compose(F.col("__folded"))).otherwise(F.col("__folded"))).drop("__folded", "__any")
 
 
 def canonical_values(values: DataFrame, text: str) -> DataFrame:
     """(text, canonical) for the mapped values whose class under the Unicode collation has another canonical member.
 
-    values: any rows with a string column of mapped texts. Only values with a letter beyond ASCII or an accent can
-    equal another value, so only these are grouped; they are made distinct map-side first, so a value that a third of
-    all rows hold is one row here. The canonical member has the fewest separate accents, then the fewest characters,
+    values: rows with a string column of mapped texts. They are made distinct map-side first, so a value that a third
+    of all rows hold is one row here. The canonical member has the fewest separate accents, then the fewest characters,
     then comes first in code point order.
     """
-    v = values.select(F.col(text).alias("v")).where(F.col("v").rlike("[\\p{M}[\\p{L}&&[^a-zA-Z]]]")).distinct()
+    v = values.select(F.col(text).alias("v")).distinct()
     marks = F.char_length(F.regexp_replace("v", "\\P{M}", ""))
     forms = F.when(F.col("v").rlike("\\p{M}"), F.array(F.col("v"), compose(F.col("v")))).otherwise(F.array("v"))
     members = v.select(F.posexplode(forms).alias("p", "v")).select("v", (F.col("p") == 0).alias("own"))
@@ -128,16 +147,26 @@ def canonical_values(values: DataFrame, text: str) -> DataFrame:
     return chosen.where("own and v <> canonical").select(F.col("v").alias(text), "canonical")
 
 
+#: Only a text with such a character, or a control character, is changed by the mapping or can equal another text under the collation.
+ABLE = "[^\\x00-\\x7f–—‘’“”†•·«»…]"
+
+
+def _canonical_able(df: DataFrame, text: str, out: str) -> DataFrame:
+    """canonical_text of the rows with a character of ABLE; the mapping runs once, into a written table."""
+    mapped = _util.cut(with_folded(df.where(_has(F.col(text), ABLE)), text, "__mapped"))
+    table = canonical_values(mapped, "__mapped")
+    joined = mapped.join(table.withColumnRenamed("canonical", "__canonical"), "__mapped", "left")
+    return joined.withColumn(out, F.coalesce("__canonical", "__mapped")).drop("__mapped", "__canonical")
+
+
 def canonical_text(df: DataFrame, text: str, out: str) -> DataFrame:
     """df with a column `out`: the canonical form of string column `text`.
 
     Every other column, extra or clashing, passes through; nulls stay null, an empty table gives an empty one and
     repeated rows stay repeated.
     """
-    mapped = with_folded(df, text, "__mapped")
-    table = canonical_values(mapped, "__mapped")
-    joined = mapped.join(table.withColumnRenamed("canonical", "__canonical"), "__mapped", "left")
-    return joined.withColumn(out, F.coalesce("__canonical", "__mapped")).drop("__mapped", "__canonical")
+    rest = df.where(F.col(text).isNull() | ~_has(F.col(text), ABLE)).withColumn(out, F.col(text))
+    return _canonical_able(df, text, out).unionByName(rest)
 
 
 def long_fields(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
@@ -148,8 +177,8 @@ def long_fields(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
 
 def odd_characters(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """(key, field) of the stored texts that differ from their canonical form, distinct."""
-    done = canonical_text(long_fields(df, key, fields), "text", "canonical")
-    return done.where("canonical <> text").select(key, "field").distinct()
+    long = long_fields(df, key, fields)
+    return _canonical_able(long, "text", "canonical").where("canonical <> text").select(key, "field").distinct()
 
 
 _util.by_value(sys.modules[__name__])
