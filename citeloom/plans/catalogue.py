@@ -1,2 +1,590 @@
-def queries(): return {}
-def oracle_sql(): return {}
+"""Every query of the core over the test tables, with the SQL it is checked against where SQL can express it."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from citeloom.functions import numeric, similarity, text
+from citeloom.operators import extract, graph, impact, keep, people, resolve, review, search, topics
+from citeloom.sources import files
+
+Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register a function as a query under its own name."""
+
+    def wrap(f):
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            return f(lambda name: spark.read.parquet(f"{sf}/{name}.parquet"))
+
+        Q[f.__name__] = run
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return wrap
+
+
+def queries():
+    return dict(Q)
+
+
+def oracle_sql():
+    return dict(SQL)
+
+
+_KEY = "trim(regexp_replace(lower({0}), '[^a-z0-9]+', ' ', 'g'))"
+_DIGITS = "list_filter(regexp_extract_all({0}, '[0-9]+'), lambda y: length(y) = 4 AND (y LIKE '19%' OR y LIKE '20%'))"
+
+
+def long(c: str):
+    return F.col(c).cast("long").alias(c)
+
+
+# ---- impact of people and works -------------------------------------------------------------------------------------
+_WORKS = """works AS (SELECT o_orderkey AS work, o_custkey AS who, c AS citations, w AS weight, top FROM orders LEFT JOIN (
+ SELECT l_orderkey, count(*) AS c, avg(l_discount) AS w, bool_or(l_returnflag = 'R') AS top FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey)"""
+
+
+def _works(t):
+    measured = t("lineitem").groupBy(F.col("l_orderkey").alias("work")).agg(F.count("*").alias("citations"), F.avg("l_discount").alias("weight"), F.bool_or(F.col("l_returnflag") == "R").alias("top"))
+    pairs = t("orders").select(F.col("o_custkey").alias("who"), F.col("o_orderkey").alias("work"))
+    return pairs, measured
+
+
+@query(f"""WITH {_WORKS}, r AS (SELECT who, citations, row_number() OVER (PARTITION BY who ORDER BY citations DESC) AS r FROM works WHERE citations IS NOT NULL),
+h AS (SELECT who, max(CASE WHEN citations >= r THEN r END) AS h FROM r GROUP BY 1)
+SELECT works.who AS who, count(*) AS n_works, count(citations) AS n_measured, CAST(sum(citations) AS BIGINT) AS total_citations, round(avg(citations), 4) AS mean_citations,
+ round(median(citations), 4) AS median_citations, count(*) FILTER (WHERE citations = 0) AS n_uncited, round(count(*) FILTER (WHERE citations = 0) / CASE WHEN count(citations) = 0 THEN NULL ELSE count(citations) END, 4) AS uncited_share,
+ round(avg(weight), 10) AS mean_weight, round(median(weight), 10) AS median_weight, count(*) FILTER (WHERE top) AS n_top,
+ round(count(*) FILTER (WHERE top) / CASE WHEN count(top) = 0 THEN NULL ELSE count(top) END, 4) AS top_share, count(*) FILTER (WHERE citations >= 10) AS i10_index,
+ round(count(citations) / count(*), 4) AS coverage_share, coalesce(max(h), 0) AS h_index FROM works LEFT JOIN h ON h.who = works.who GROUP BY works.who""")
+def faculty_impact_summary(t):
+    pairs, works = _works(t)
+    return impact.summary(pairs, works, "who", "work")
+
+
+@query(f"WITH {_WORKS}, r AS (SELECT who, citations, row_number() OVER (PARTITION BY who ORDER BY citations DESC) AS r FROM works WHERE citations IS NOT NULL) SELECT who, coalesce(max(CASE WHEN citations >= r THEN r END), 0) AS h_index FROM r GROUP BY 1")
+def h_index(t):
+    pairs, works = _works(t)
+    return impact.h_index(pairs.join(works, "work"), "who", "citations")
+
+
+@query("""WITH y AS (SELECT o_custkey AS who, year(o_orderdate) AS y, count(*) AS n FROM orders GROUP BY 1, 2), m AS (SELECT max(year(o_orderdate)) AS m FROM orders)
+SELECT who, CAST(sum(n) AS BIGINT) AS total, CAST(coalesce(sum(n) FILTER (WHERE y > m - 1), 0) AS BIGINT) AS last_1, CAST(coalesce(sum(n) FILTER (WHERE y > m - 2), 0) AS BIGINT) AS last_2, CAST(coalesce(sum(n) FILTER (WHERE y > m - 5), 0) AS BIGINT) AS last_5,
+ round(coalesce(sum(n) FILTER (WHERE y > m - 2), 0) / sum(n), 4) AS recent_share, CAST(count(*) AS BIGINT) AS active_years, CAST(max(m) - min(y) AS BIGINT) AS since_first FROM y, m GROUP BY who""")
+def citation_windows(t):
+    per = t("orders").groupBy(F.col("o_custkey").alias("who"), F.year("o_orderdate").alias("year")).agg(F.count("*").alias("n"))
+    newest = t("orders").agg(F.make_date(F.max(F.year("o_orderdate")), F.lit(12), F.lit(31)).alias("observed_at"))
+    w = per.groupBy("who").agg(F.array_sort(F.collect_list(F.struct("year", "n"))).alias("counts"), F.sum("n").alias("cited_by_count")).crossJoin(F.broadcast(newest))
+    m = impact.work_measures(w.withColumn("publication_date", F.lit(None).cast("date")).withColumn("publication_year", F.lit(None).cast("int")))
+    return m.select("who", F.col("cited_by_count").alias("total"), F.col("citations_last_1_year").alias("last_1"), F.col("citations_last_2_years").alias("last_2"), F.col("citations_last_5_years").alias("last_5"), F.col("recent_citation_share").alias("recent_share"), F.col("citation_active_years").cast("long").alias("active_years"), F.col("years_since_earliest_citation").cast("long").alias("since_first"))
+
+
+@query("WITH y AS (SELECT o_custkey AS who, year(o_orderdate) AS y FROM orders), m AS (SELECT max(y) AS m FROM y) SELECT who, round(sum(pow(0.5, (m - y) / 5.0)), 6) AS recency_weight, CAST(min(y) AS BIGINT) AS first_year, CAST(max(y) AS BIGINT) AS last_year FROM y, m GROUP BY who")
+def recency_weighted(t):
+    y = t("orders").select(F.col("o_custkey").alias("who"), F.year("o_orderdate").alias("y"))
+    return impact.recency_weight(y, ["who"], "y").select("who", "recency_weight", long("first_year"), long("last_year"))
+
+
+@query("SELECT o_orderkey AS work, round(greatest(date_diff('day', CAST(o_orderdate AS DATE), DATE '2002-01-01') / 365.2425, 0), 4) AS age_years FROM orders")
+def publication_age(t):
+    return t("orders").select(F.col("o_orderkey").alias("work"), F.round(numeric.age_years(F.to_date("o_orderdate"), F.year("o_orderdate"), F.lit("2002-01-01").cast("date")), 4).alias("age_years"))
+
+
+# ---- keeping rows ---------------------------------------------------------------------------------------------------
+@query("SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1")
+def dedup_latest(t):
+    return keep.latest(t("events"), ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "event_type", "event_id", "value")
+
+
+@query(f"SELECT title_key, record_id FROM (SELECT {_KEY.format('canonical_title')} AS title_key, record_id, row_number() OVER (PARTITION BY {_KEY.format('canonical_title')} ORDER BY coalesce(length(abstract), 0) DESC, record_id) AS r FROM publication_resolution WHERE match_status = 'matched') WHERE r = 1")
+def dedup_longest(t):
+    m = t("publication_resolution").where("match_status = 'matched'").withColumn("title_key", text.title_key(F.col("canonical_title")))
+    return keep.longest(m, ["title_key"], "abstract", "record_id").select("title_key", "record_id")
+
+
+@query("SELECT report_file, faculty_heading, title, min(record_id) AS record_id FROM publication_candidates WHERE title IS NOT NULL GROUP BY 1, 2, 3")
+def dedup_first(t):
+    c = t("publication_candidates").where("title is not null")
+    return keep.top_per_key(c, ["report_file", "faculty_heading", "title"], [F.asc("record_id")]).select("report_file", "faculty_heading", "title", "record_id")
+
+
+@query("SELECT record_id, report_year FROM publication_candidates WHERE report_year < 2015 UNION SELECT record_id, report_year FROM publication_candidates WHERE report_year >= 2010")
+def candidate_merge_append(t):
+    c = t("publication_candidates").select("record_id", "report_year")
+    return keep.merge_append(c.where("report_year < 2015"), c.where("report_year >= 2010"), "record_id")
+
+
+@query("SELECT record_id, report_year FROM publication_candidates WHERE report_year >= 2010")
+def candidate_merge_rebuild(t):
+    c = t("publication_candidates").select("record_id", "report_year")
+    return keep.merge_rebuild(c.where("report_year < 2015"), c.where("report_year >= 2010"), "record_id")
+
+
+@query("SELECT record_id, report_file FROM publication_candidates WHERE coalesce(report_file, '') NOT LIKE 'dm_%' UNION ALL SELECT record_id, report_file FROM publication_candidates WHERE report_file LIKE 'dm_%' AND report_year >= 2012")
+def replace_by_prefix(t):
+    c = t("publication_candidates")
+    return keep.replace_where(c.select("record_id", "report_file"), F.col("report_file").startswith("dm_"), c.where("report_file like 'dm\\_%' and report_year >= 2012").select("record_id", "report_file"))
+
+
+@query("SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1 AND user_id IN (SELECT user_id FROM events WHERE event_type = 'purchase')")
+def upsert_current(t):
+    e = t("events").select("user_id", "event_type", "event_id", "ts")
+    early = F.col("ts") < "2024-01-15"
+    return keep.upsert(e.where(early), e.where(~early), ["user_id", "event_type"], ["ts", "event_id"], t("events").where("event_type = 'purchase'").select("user_id", "event_type").drop("event_type").distinct().join(e.select("user_id", "event_type").distinct(), "user_id")).select("user_id", "event_type", "event_id")
+
+
+@query("SELECT DISTINCT user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS observed_on FROM events")
+def snapshot_append(t):
+    e = t("events").select("user_id", F.to_date("ts").cast("string").alias("observed_on"))
+    return keep.append_snapshots(e.where("observed_on < '2024-01-20'"), e.where("observed_on >= '2024-01-10'"), ["user_id", "observed_on"])
+
+
+@query("SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1 AND event_type <> 'error'")
+def decision_fold(t):
+    return keep.fold_log(t("events"), ["user_id"], ["ts", "event_id"], F.col("event_type") == "error").select("user_id", "event_id")
+
+
+@query("""WITH l AS (SELECT o_custkey AS who, o_orderpriority AS topic, row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderdate DESC, o_orderkey DESC) AS r, CASE WHEN o_orderstatus = 'F' THEN 'remove' ELSE 'add' END AS action FROM orders), f AS (SELECT * FROM l WHERE r = 1),
+b AS (SELECT DISTINCT o_custkey AS who, o_orderpriority AS topic FROM orders WHERE o_totalprice > 200000)
+SELECT who, topic FROM b WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.who = b.who AND f.topic = b.topic) UNION ALL SELECT who, topic FROM f WHERE action = 'add'""")
+def override_fold(t):
+    o = t("orders").select(F.col("o_custkey").alias("who"), F.col("o_orderpriority").alias("topic"), "o_orderdate", "o_orderkey", F.when(F.col("o_orderstatus") == "F", "remove").otherwise("add").alias("action"), "o_totalprice")
+    return keep.apply_overrides(o.where("o_totalprice > 200000").select("who", "topic").distinct(), o.drop("o_totalprice"), ["who", "topic"], ["o_orderdate", "o_orderkey"])
+
+
+@query("SELECT record_id FROM publication_candidates c WHERE confidence >= 0.75 AND category IN ('article', 'book', 'book_chapter', 'other') AND NOT is_ongoing AND NOT EXISTS (SELECT 1 FROM publication_resolution r WHERE r.record_id = c.record_id AND r.match_status <> 'api_error')")
+def resume_pending(t):
+    c = t("publication_candidates").where(F.col("category").isin("article", "book", "book_chapter", "other") & (F.col("confidence") >= 0.75) & ~F.col("is_ongoing"))
+    return keep.pending(c, t("publication_resolution"), "record_id", F.col("match_status") == "api_error").select("record_id")
+
+
+@query("SELECT event_id, last_value(CASE WHEN event_type IN ('signup', 'purchase') THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS carried FROM events")
+def carry_forward_sections(t):
+    return keep.carry_forward(t("events"), ["user_id"], ["ts", "event_id"], F.when(F.col("event_type").isin("signup", "purchase"), F.col("event_id")), "carried").select("event_id", "carried")
+
+
+@query("SELECT publication_id, count(*) AS n_rows, string_agg(DISTINCT record_id, ';' ORDER BY record_id) AS record_ids FROM article_faculty_attributions GROUP BY 1")
+def provenance_groups(t):
+    return keep.grouped_lists(t("article_faculty_attributions"), ["publication_id"], {"record_id": "record_ids"})
+
+
+# ---- keys, text ------------------------------------------------------------------------------------------------------
+@query(f"SELECT {_KEY.format('canonical_title')} AS title_key, count(*) AS n_rows, min(record_id) AS first_id FROM publication_resolution WHERE canonical_title IS NOT NULL GROUP BY 1")
+def title_key_groups(t):
+    r = t("publication_resolution").where("canonical_title is not null")
+    return r.groupBy(text.title_key(F.col("canonical_title")).alias("title_key")).agg(F.count("*").alias("n_rows"), F.min("record_id").alias("first_id"))
+
+
+@query(f"SELECT record_id, {_KEY.format('''replace(strip_accents(canonical_title), '&', ' and ')''')} AS normalized FROM publication_resolution WHERE canonical_title IS NOT NULL")
+def normalized_titles(t):
+    return t("publication_resolution").where("canonical_title is not null").select("record_id", text.normalized_title(F.col("canonical_title")).alias("normalized"))
+
+
+@query(f"SELECT record_id, 'pub_' || substr(sha256(CASE WHEN coalesce(trim(doi), '') <> '' THEN 'doi:' || lower(trim(doi)) ELSE 'title:' || {_KEY.format('''coalesce(canonical_title, '')''')} END), 1, 16) AS publication_id FROM publication_resolution WHERE match_status = 'matched'")
+def publication_ids(t):
+    return t("publication_resolution").where("match_status = 'matched'").select("record_id", text.publication_id(F.col("doi"), F.col("canonical_title")).alias("publication_id"))
+
+
+@query("SELECT record_id, substr(sha1(concat_ws('|', report_file, CAST(pdf_page AS VARCHAR), faculty_heading, title)), 1, 16) AS derived_id FROM publication_candidates")
+def derived_record_ids(t):
+    return t("publication_candidates").select("record_id", text.record_id(F.col("report_file"), F.col("pdf_page").cast("string"), F.col("faculty_heading"), F.col("title")).alias("derived_id"))
+
+
+@query(f"SELECT record_id, CAST(y AS BIGINT) AS year FROM (SELECT record_id, unnest({_DIGITS.format('raw_citation')}) AS y FROM publication_candidates)")
+def year_extract(t):
+    return t("publication_candidates").select("record_id", F.explode(text.years(F.col("raw_citation"))).alias("y")).select("record_id", F.col("y").cast("long").alias("year"))
+
+
+@query(f"SELECT record_id, CAST(coalesce(list_filter([CAST(y AS INT) FOR y IN {_DIGITS.format('raw_citation')}], lambda y: y >= 1900 AND y <= report_year + 2)[-1], report_year) AS BIGINT) AS year FROM publication_candidates WHERE raw_citation IS NOT NULL AND report_year IS NOT NULL")
+def citation_years(t):
+    c = t("publication_candidates").where("raw_citation is not null and report_year is not null")
+    return c.select("record_id", text.citation_year(F.col("raw_citation"), F.col("report_year")).cast("long").alias("year"))
+
+
+@query("SELECT report_file, CAST(nullif(regexp_extract(report_file, '(19[0-9][0-9]|20[0-9][0-9])', 1), '') AS BIGINT) AS year FROM publication_candidates WHERE report_file IS NOT NULL GROUP BY 1")
+def report_years(t):
+    return t("publication_candidates").where("report_file is not null").select("report_file", text.report_year(F.col("report_file")).cast("long").alias("year")).distinct()
+
+
+@query("SELECT author, count(*) AS n_rows FROM (SELECT trim(unnest(string_split(authors, ';')), ' ') AS author FROM publication_resolution WHERE authors IS NOT NULL) WHERE author <> '' GROUP BY 1")
+def split_semicolon_explode(t):
+    a = t("publication_resolution").select(F.explode(text.split_list(F.col("authors"))).alias("author"))
+    return a.groupBy("author").agg(F.count("*").alias("n_rows"))
+
+
+@query("""WITH k AS (SELECT trim(regexp_replace(lower(faculty_name), '[^a-z0-9]+', ' ', 'g')) AS name_key, faculty_name FROM article_faculty_attributions),
+n AS (SELECT name_key, faculty_name, count(*) AS n FROM k WHERE name_key <> '' GROUP BY 1, 2) SELECT name_key, faculty_name AS name, CAST(total AS BIGINT) AS n_rows FROM (SELECT *, sum(n) OVER (PARTITION BY name_key) AS total, row_number() OVER (PARTITION BY name_key ORDER BY n DESC, lower(faculty_name), faculty_name) AS r FROM n) WHERE r = 1""")
+def unique_names(t):
+    k = t("article_faculty_attributions").select(text.title_key(F.col("faculty_name")).alias("name_key"), F.col("faculty_name").alias("name")).where("name_key <> ''")
+    n = k.groupBy("name_key", "name").agg(F.count("*").alias("n"))
+    best = keep.top_per_key(n, ["name_key"], [F.desc("n"), F.lower("name"), F.col("name")]).select("name_key", "name")
+    return best.join(n.groupBy("name_key").agg(F.sum("n").alias("n_rows")), "name_key")
+
+
+@query("SELECT record_id, regexp_replace(trim(regexp_replace(replace(regexp_replace(abstract, '<[^>]+>', ' ', 'g'), '&amp;', '&'), '\\s+', ' ', 'g')), '^ +| +$', '', 'g') AS plain FROM publication_resolution WHERE abstract LIKE '%<%' OR abstract LIKE '%&amp;%'")
+def html_clean(t):
+    r = t("publication_resolution").where(F.col("abstract").contains("<") | F.col("abstract").contains("&amp;"))
+    return r.select("record_id", text.html_text(F.col("abstract")).alias("plain"))
+
+
+@query("SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS rebuilt FROM documents WHERE length(text) BETWEEN 1 AND 400 AND text = trim(text) AND text NOT LIKE '% %'")
+def inverted_index_text(t):
+    d = t("documents").where(F.char_length("text").between(1, 400) & (F.col("text") == F.trim("text")) & ~F.col("text").contains(" "))
+    return d.select("doc_id", text.inverted_text(text.word_positions(F.col("text"))).alias("rebuilt"))
+
+
+@query("""WITH o AS (SELECT faculty_id, orcid, replace(upper(orcid), '-', '') AS d FROM faculty_registry WHERE regexp_matches(upper(trim(orcid)), '^[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{3}[0-9X]$')),
+c AS (SELECT faculty_id, d, (12 - list_reduce(list_prepend(CAST(0 AS BIGINT), [CAST(substr(d, i, 1) AS BIGINT) FOR i IN range(1, 16)]), lambda s, x: (s + x) * 2) % 11) % 11 AS chk FROM o)
+SELECT faculty_id, (CASE WHEN substr(d, 16, 1) = 'X' THEN 10 ELSE CAST(substr(d, 16, 1) AS INT) END) = chk AS valid FROM c""")
+def orcid_check(t):
+    return t("faculty_registry").where("orcid is not null").select("faculty_id", text.orcid(F.col("orcid")).isNotNull().alias("valid"))
+
+
+@query("SELECT record_id, regexp_replace(substr(regexp_replace(regexp_replace(lower(canonical_title), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 90), '-+$', '') || '-' || substr(sha1(doi), 1, 10) AS slug FROM publication_resolution WHERE canonical_title IS NOT NULL AND doi IS NOT NULL")
+def file_slugs(t):
+    return t("publication_resolution").where("canonical_title is not null and doi is not null").select("record_id", text.slug(F.col("canonical_title"), F.col("doi")).alias("slug"))
+
+
+@query("SELECT c_custkey, CAST(list_reduce(list_prepend(CAST(0 AS BIGINT), [CAST(ascii(x) AS BIGINT) FOR x IN string_split(c_name, '')]), lambda h, c: (h * 31 + c) % 4294967296) AS BIGINT) AS h FROM customer")
+def layout_hash(t):
+    return t("customer").select("c_custkey", text.hash31(F.col("c_name")).alias("h"))
+
+
+@query("SELECT event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k, count(*) AS n FROM events GROUP BY 1, 2")
+def json_props(t):
+    k = F.from_json("props", "k long")["k"]
+    return t("events").groupBy("event_type", k.alias("k")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT record_id, CAST(len(CAST(json(attribution_evidence) AS JSON[])) AS BIGINT) AS n_evidence FROM article_faculty_attributions WHERE attribution_evidence IS NOT NULL")
+def evidence_lists(t):
+    a = t("article_faculty_attributions").where("attribution_evidence is not null")
+    return a.select("record_id", F.size(files.json_list(F.col("attribution_evidence"), "struct<rule:string,matched_text:string>")).cast("long").alias("n_evidence"))
+
+
+@query("SELECT doc_id, CAST(length(regexp_replace(trim(text), '[^ ]', '', 'g')) AS BIGINT) AS n_spaces, CASE WHEN length(text) > 38 THEN rtrim(substr(text, 1, 37)) || '…' ELSE text END AS shown FROM documents WHERE text IS NOT NULL")
+def text_display(t):
+    return t("documents").where("text is not null").select("doc_id", F.char_length(F.regexp_replace(F.trim("text"), "[^ ]", "")).cast("long").alias("n_spaces"), text.ellipsis(F.col("text"), 38).alias("shown"))
+
+
+# ---- joins between records ------------------------------------------------------------------------------------------
+@query("SELECT a.record_id AS record_id, c.record_id AS source_id, c.report_year AS report_year FROM (SELECT record_id, trim(unnest(string_split(source_record_ids, ';'))) AS s FROM cluster_publications) a JOIN publication_candidates c ON c.record_id = a.s")
+def article_sources(t):
+    a = t("cluster_publications").select("record_id", F.explode(text.split_list(F.col("source_record_ids"))).alias("source_id"))
+    return a.join(t("publication_candidates").select(F.col("record_id").alias("source_id"), "report_year"), "source_id")
+
+
+@query("SELECT DISTINCT s AS source_id FROM (SELECT trim(unnest(string_split(source_record_ids, ';'))) AS s FROM article_faculty_attributions) WHERE s <> '' AND s NOT IN (SELECT record_id FROM publication_resolution WHERE match_status = 'matched')")
+def sources_missing(t):
+    a = t("article_faculty_attributions").select(F.explode(text.split_list(F.col("source_record_ids"))).alias("record_id")).distinct()
+    return keep.unseen(a, t("publication_resolution").where("match_status = 'matched'"), "record_id").select(F.col("record_id").alias("source_id"))
+
+
+@query("SELECT record_id FROM cluster_publications WHERE record_id NOT IN (SELECT record_id FROM article_faculty_attributions)")
+def unattributed_works(t):
+    return keep.unseen(t("cluster_publications"), t("article_faculty_attributions"), "record_id").select("record_id")
+
+
+@query("""WITH e AS (SELECT report_year AS y, count(*) AS n_expected FROM publication_resolution WHERE report_year <> 1999 GROUP BY 1), f AS (SELECT report_year AS y, count(*) AS n_found FROM publication_candidates WHERE report_year <> 1999 AND report_year > 1997 GROUP BY 1)
+SELECT coalesce(e.y, f.y) AS year, n_expected, n_found, n_found - n_expected AS delta, round(n_found / n_expected, 4) AS ratio, CASE WHEN n_expected IS NULL THEN 'not_expected' WHEN n_found IS NULL THEN 'not_found' WHEN n_found = n_expected THEN 'exact' WHEN abs(n_found - n_expected) <= 0.05 * n_expected THEN 'near' WHEN n_found > n_expected THEN 'over' ELSE 'under' END AS status FROM e FULL JOIN f ON e.y = f.y""")
+def reconcile_counts(t):
+    e = t("publication_resolution").where("report_year is not null").groupBy(F.col("report_year").alias("year")).agg(F.count("*").alias("n_expected"))
+    f = t("publication_candidates").where("report_year > 1997").groupBy(F.col("report_year").alias("year")).agg(F.count("*").alias("n_found"))
+    return review.reconciled(e, f, "year", "n_expected", "n_found", exclude=[1999])
+
+
+@query("SELECT report_year, count(*) AS n_rows, count(title) AS n_titled, count(*) FILTER (WHERE confidence >= 0.75) AS n_confident, count(DISTINCT title) AS n_titles, count(*) FILTER (WHERE needs_review) AS n_review FROM publication_candidates GROUP BY 1")
+def yearly_counts(t):
+    c = t("publication_candidates")
+    return c.groupBy("report_year").agg(F.count("*").alias("n_rows"), F.count("title").alias("n_titled"), F.count_if(F.col("confidence") >= 0.75).alias("n_confident"), F.count_distinct("title").alias("n_titles"), F.count_if("needs_review").alias("n_review"))
+
+
+@query("SELECT 'method' AS kind, extraction_method AS name, count(*) AS n FROM publication_candidates GROUP BY 2 UNION ALL SELECT 'category', category, count(*) FROM publication_candidates GROUP BY 2")
+def frequency_tables(t):
+    c = t("publication_candidates")
+    one = lambda k, col: c.groupBy(F.col(col).alias("name")).agg(F.count("*").alias("n")).select(F.lit(k).alias("kind"), "name", "n")
+    return one("method", "extraction_method").unionByName(one("category", "category"))
+
+
+@query("""SELECT unnest(['rows', 'matched', 'unmatched', 'errors', 'with_doi', 'with_abstract']) AS counter, unnest([count(*), count(*) FILTER (WHERE match_status = 'matched'), count(*) FILTER (WHERE match_status = 'unmatched'), count(*) FILTER (WHERE match_status = 'api_error'), count(doi), count(abstract)]) AS n FROM publication_resolution""")
+def resolution_counters(t):
+    s = F.col("match_status")
+    return review.counters(t("publication_resolution"), matched=s == "matched", unmatched=s == "unmatched", errors=s == "api_error", with_doi=F.col("doi").isNotNull(), with_abstract=F.col("abstract").isNotNull())
+
+
+@query("SELECT record_id, count(*) AS n_rows FROM article_faculty_attributions GROUP BY 1 HAVING count(*) > 1")
+def duplicate_keys(t):
+    return graph.duplicate_keys(t("article_faculty_attributions"), ["record_id"])
+
+
+# ---- topics ---------------------------------------------------------------------------------------------------------
+@query("""WITH a AS (SELECT * FROM article_faculty_attributions WHERE topic_id >= 0), n AS (SELECT faculty_name, topic_id, count(DISTINCT publication_id) AS n_works, round(avg(topic_probability), 10) AS mean_probability FROM a GROUP BY 1, 2),
+tot AS (SELECT faculty_name, count(DISTINCT publication_id) AS total FROM a GROUP BY 1), b AS (SELECT faculty_name, topic_id, canonical_title, max(coalesce(topic_probability, -1)) AS p FROM a WHERE canonical_title IS NOT NULL GROUP BY 1, 2, 3),
+r AS (SELECT *, row_number() OVER (PARTITION BY faculty_name, topic_id ORDER BY p DESC, canonical_title) AS r FROM b), s AS (SELECT faculty_name, topic_id, string_agg(canonical_title, ' | ' ORDER BY r) AS top_titles FROM r WHERE r <= 3 GROUP BY 1, 2)
+SELECT n.faculty_name AS faculty_name, n.topic_id AS topic_id, n_works, mean_probability, round(n_works / total, 4) AS share, top_titles FROM n JOIN tot USING (faculty_name) LEFT JOIN s ON s.faculty_name = n.faculty_name AND s.topic_id = n.topic_id""")
+def topic_summary(t):
+    a = t("article_faculty_attributions").where("topic_id >= 0 and faculty_name is not null")
+    return topics.summary(a, "faculty_name", "topic_id", "publication_id", "topic_probability", "canonical_title").select("faculty_name", "topic_id", "n_works", "mean_probability", "share", "top_titles")
+
+
+@query("SELECT report_year, count(DISTINCT record_id) FILTER (WHERE category = 'article') AS article, count(DISTINCT record_id) FILTER (WHERE category = 'book') AS book, count(DISTINCT record_id) FILTER (WHERE category = 'book_chapter') AS book_chapter, count(DISTINCT record_id) FILTER (WHERE category = 'presentation') AS presentation FROM publication_candidates GROUP BY 1")
+def topic_pivot(t):
+    return t("publication_candidates").groupBy("report_year").pivot("category", ["article", "book", "book_chapter", "presentation"]).agg(F.count_distinct("record_id")).na.fill(0, ["article", "book", "book_chapter", "presentation"])
+
+
+@query("SELECT faculty_name, topic_id, n FROM (SELECT faculty_name, topic_id, count(*) AS n, row_number() OVER (PARTITION BY faculty_name ORDER BY count(*) DESC, topic_id) AS r FROM article_faculty_attributions WHERE topic_id >= 0 GROUP BY 1, 2) WHERE r = 1")
+def dominant_topic(t):
+    n = t("article_faculty_attributions").where("topic_id >= 0").groupBy("faculty_name", "topic_id").agg(F.count("*").alias("n"))
+    return keep.top_per_key(n, ["faculty_name"], [F.desc("n"), F.asc("topic_id")])
+
+
+_CT = """WITH w AS (SELECT doc_kind AS topic, regexp_extract_all(lower(text), '[a-z0-9]{2,}') AS ws FROM documents WHERE doc_kind IS NOT NULL AND text IS NOT NULL),
+f AS (SELECT topic, list_filter(ws, lambda x: x NOT IN ('the', 'and', 'their', 'this', 'each', 'that')) AS ws FROM w),
+t AS (SELECT topic, unnest(list_concat(ws, list_transform(range(1, greatest(len(ws), 1)), lambda i: ws[i] || ' ' || ws[i + 1]))) AS term FROM f),
+c AS (SELECT topic, term, count(*) AS n FROM t GROUP BY 1, 2), s AS (SELECT topic, sum(n) AS total FROM c GROUP BY 1), d AS (SELECT term, count(*) AS df FROM c GROUP BY 1), k AS (SELECT count(*) AS t FROM s),
+x AS (SELECT c.topic AS topic, c.term AS term, round(n / total * (ln((1.0 + t) / (1.0 + df)) + 1.0), 6) AS weight FROM c JOIN s ON s.topic = c.topic JOIN d ON d.term = c.term, k)
+SELECT topic, term, weight, rank FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY weight DESC, term) AS rank FROM x WHERE weight > 0) WHERE rank <= 15"""
+
+
+def _ctfidf(t):
+    d = t("documents").where("doc_kind is not null and text is not null").withColumnRenamed("doc_kind", "topic")
+    return topics.ctfidf(d, "topic", "text", ["the", "and", "their", "this", "each", "that"])
+
+
+@query(_CT)
+def ctfidf_terms(t):
+    return _ctfidf(t)
+
+
+@query()
+def topic_labels(t):
+    lists = _ctfidf(t).groupBy("topic").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "term"))), lambda s: s["term"]).alias("terms"))
+    return topics.labelled(lists, "topic", "terms")
+
+
+@query("SELECT label, i - 1 AS i, round(avg(v[i]), 6) AS m FROM (SELECT label, CAST(embedding AS DOUBLE[]) AS v, unnest(range(1, 65)) AS i FROM embeddings) GROUP BY 1, 2")
+def centroids(t):
+    c = topics.centroids(t("embeddings"), "label", "embedding")
+    return c.select("label", F.posexplode("centroid").alias("i", "m")).select("label", F.col("i").cast("long").alias("i"), F.round("m", 6).alias("m"))
+
+
+@query("""WITH c AS (SELECT label, i, avg(v[i]) AS m FROM (SELECT label, CAST(embedding AS DOUBLE[]) AS v, unnest(range(1, 65)) AS i FROM embeddings) GROUP BY 1, 2), n AS (SELECT label, sqrt(sum(m * m)) AS n FROM c GROUP BY 1),
+p AS (SELECT a.label AS source, b.label AS target, round(sum(a.m * b.m) / max(na.n * nb.n), 6) AS score FROM c a JOIN c b ON a.i = b.i AND a.label < b.label JOIN n na ON na.label = a.label JOIN n nb ON nb.label = b.label GROUP BY 1, 2)
+SELECT source, target, score FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY score DESC, target DESC) AS r FROM p WHERE score >= -0.2) WHERE r <= 3""")
+def similarity_edges(t):
+    return graph.similar_pairs(topics.centroids(t("embeddings"), "label", "embedding"), "label", "centroid", least=-0.2, k=3).select("source", "target", "score")
+
+
+@query("""WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings), s AS (SELECT q.vec_id AS query_id, e.label AS label, e.vec_id AS id, round(list_dot_product(q.v, e.v) / sqrt(list_dot_product(q.v, q.v)) / sqrt(list_dot_product(e.v, e.v)), 6) AS score FROM (SELECT * FROM e WHERE vec_id % 50 = 0) q, e)
+SELECT query_id, label, id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id, label ORDER BY score DESC, id DESC) AS rank FROM s) WHERE rank <= 5""")
+def vector_topk(t):
+    e = t("embeddings")
+    return search.vector_topk(e.where("vec_id % 50 = 0"), e, "vec_id", "vec_id", "embedding", 5, "label")
+
+
+@query("""WITH c AS (SELECT label, i, avg(v[i]) AS m FROM (SELECT label, CAST(embedding AS DOUBLE[]) AS v, unnest(range(1, 65)) AS i FROM embeddings) GROUP BY 1, 2),
+x AS (SELECT vec_id, label, unnest(range(1, 65)) AS i, CAST(embedding AS DOUBLE[]) AS v FROM embeddings), d AS (SELECT x.label AS label, vec_id, round(sqrt(sum((v[x.i] - m) * (v[x.i] - m))), 6) AS distance FROM x JOIN c ON c.label = x.label AND c.i = x.i GROUP BY 1, 2)
+SELECT label, vec_id, distance, rank FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY distance, vec_id) AS rank FROM d) WHERE rank <= 5""")
+def representatives(t):
+    return topics.representatives(t("embeddings"), "label", "vec_id", "embedding")
+
+
+@query()
+def clustered(t):
+    return topics.reduce_and_cluster(t("cluster_publications"), "record_id", "embedding", 20).select("record_id", "topic_id", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
+
+
+# ---- graph and search -----------------------------------------------------------------------------------------------
+def _graph(t):
+    a = t("article_faculty_attributions").where("faculty_name is not null and record_id is not null")
+    n = keep.union_all([graph.nodes(a.select("record_id", "canonical_title").na.fill("untitled"), "publication", "record_id", "canonical_title"), graph.nodes(a, "faculty", "faculty_name", "faculty_name"), graph.nodes(a.where("topic_id >= 0").withColumn("label", F.col("topic_id").cast("string")), "topic", "topic_id", "label")])
+    e = graph.edges(a.select("faculty_name", "record_id").distinct(), "attributed_publication", "faculty_name", "record_id").unionByName(graph.edges(a.where("topic_id >= 0").select("faculty_name", "topic_id").distinct(), "faculty_topic", "faculty_name", "topic_id"))
+    return n, e
+
+
+@query("SELECT record_id AS id, 'publication' AS type, min(coalesce(canonical_title, 'untitled')) AS label FROM article_faculty_attributions WHERE faculty_name IS NOT NULL GROUP BY 1 UNION ALL SELECT faculty_name, 'faculty', faculty_name FROM article_faculty_attributions WHERE faculty_name IS NOT NULL GROUP BY 1 UNION ALL SELECT CAST(topic_id AS VARCHAR), 'topic', CAST(topic_id AS VARCHAR) FROM article_faculty_attributions WHERE topic_id >= 0 AND faculty_name IS NOT NULL GROUP BY 1, 3")
+def graph_nodes(t):
+    return _graph(t)[0]
+
+
+_EDGE = "SELECT 'edge_' || substr(sha256(concat_ws(':', type, source, target)), 1, 16) AS id, source, target, type FROM (SELECT DISTINCT faculty_name AS source, record_id AS target, 'attributed_publication' AS type FROM article_faculty_attributions UNION ALL SELECT DISTINCT faculty_name, CAST(topic_id AS VARCHAR), 'faculty_topic' FROM article_faculty_attributions WHERE topic_id >= 0) WHERE source IS NOT NULL"
+
+
+@query(_EDGE)
+def graph_edges(t):
+    return _graph(t)[1]
+
+
+@query("SELECT unnest(['unique_node_ids', 'unique_edge_ids', 'no_dangling_edges', 'labels_present']) AS check_name, CAST(0 AS BIGINT) AS n_bad")
+def validate_graph(t):
+    return graph.validation(*_graph(t))
+
+
+@query(f"WITH e AS ({_EDGE}) SELECT DISTINCT unnest([source, target]) AS id FROM e WHERE type = 'faculty_topic' AND target = '3'")
+def neighborhood(t):
+    return graph.neighbourhood(_graph(t)[1], (F.col("type") == "faculty_topic") & (F.col("target") == "3"))
+
+
+@query("""WITH q AS (SELECT DISTINCT record_id, topic_id FROM article_faculty_attributions WHERE topic_id = 7), p AS (SELECT DISTINCT record_id, faculty_name FROM article_faculty_attributions WHERE record_id IN (SELECT record_id FROM q))
+SELECT a.record_id AS a, b.record_id AS b FROM q a JOIN q b ON a.topic_id = b.topic_id AND a.record_id <> b.record_id UNION SELECT a.record_id, b.record_id FROM p a JOIN p b ON a.faculty_name = b.faculty_name AND a.record_id <> b.record_id""")
+def related_items(t):
+    a = t("article_faculty_attributions")
+    return graph.related(a.where("topic_id = 7").select("record_id", "topic_id").distinct(), "record_id", "topic_id", a, "faculty_name")
+
+
+@query("SELECT record_id, CASE WHEN x IS NULL THEN NULL ELSE round(0.05 + 0.9 * (x - lx) / (hx - lx), 6) END AS x, CASE WHEN y IS NULL THEN NULL ELSE round(0.05 + 0.9 * (y - ly) / (hy - ly), 6) END AS y FROM cluster_publications, (SELECT min(x) AS lx, max(x) AS hx, min(y) AS ly, max(y) AS hy FROM cluster_publications)")
+def minmax_scale(t):
+    return graph.scaled(t("cluster_publications").select("record_id", "x", "y"), ["x", "y"])
+
+
+@query("SELECT n_nationkey, round(cos(2 * pi() * (row_number() OVER w - 1) / count(*) OVER (PARTITION BY n_regionkey)), 6) AS px, round(sin(2 * pi() * (row_number() OVER w - 1) / count(*) OVER (PARTITION BY n_regionkey)), 6) AS py FROM nation WINDOW w AS (PARTITION BY n_regionkey ORDER BY n_nationkey)")
+def ring_layout(t):
+    return graph.ring(t("nation"), "n_regionkey", "n_nationkey").select("n_nationkey", "px", "py")
+
+
+@query("SELECT source, target, count(*) AS n_works FROM (SELECT DISTINCT a.faculty_name AS source, b.faculty_name AS target, a.publication_id FROM article_faculty_attributions a JOIN article_faculty_attributions b ON a.publication_id = b.publication_id AND a.faculty_name < b.faculty_name) GROUP BY 1, 2")
+def coauthor_edges(t):
+    return graph.coauthors(t("article_faculty_attributions"), "faculty_name", "publication_id")
+
+
+_SEARCH = """WITH d AS (SELECT 'publication' AS entity_type, record_id AS entity_id, canonical_title AS title, lower(concat_ws(' ', canonical_title, authors)) AS text FROM publication_resolution WHERE canonical_title IS NOT NULL
+ UNION ALL SELECT 'faculty', faculty_id, faculty_name, lower(concat_ws(' ', faculty_name, aliases)) FROM faculty_registry), h AS (SELECT *, CAST(contains(text, 'housing') AS BIGINT) + CAST(contains(text, 'nicholas') AS BIGINT) + CAST(contains(text, 'voters') AS BIGINT) AS h FROM d)
+SELECT entity_type, entity_id, title, h + CASE WHEN entity_type = 'faculty' THEN 2 ELSE 0 END AS score FROM h WHERE h > 0 ORDER BY score DESC, title, entity_id LIMIT 12"""
+
+
+@query(_SEARCH)
+def keyword_search(t):
+    pubs = search.documents(t("publication_resolution").where("canonical_title is not null"), "publication", "record_id", F.col("canonical_title"), F.col("authors"))
+    who = search.documents(t("faculty_registry"), "faculty", "faculty_id", F.col("faculty_name"), F.col("aliases"))
+    return search.keyword(pubs.unionByName(who), "housing Nicholas voters", {"faculty": 2, "topic": 3})
+
+
+# ---- resolving, people ----------------------------------------------------------------------------------------------
+@query()
+def fuzzy_resolve(t):
+    q = t("publication_candidates").where("title is not null")
+    c = t("publication_resolution").where("match_status = 'matched'")
+    # one catalogue row per title: copies need not be compared again
+    c = keep.top_per_key(c, [text.normalized_title(F.col("canonical_title"))], [F.asc("record_id")])
+    s = resolve.scored(q, c, "record_id", "title", "record_id", "canonical_title", "report_year", "publication_year")
+    return resolve.best(s).select("query_id", "id", "score")
+
+
+@query("""WITH q AS (SELECT c_custkey AS query_id, c_nationkey AS k, c_acctbal AS b FROM customer), p AS (SELECT query_id, s_suppkey AS id, round(1 - abs(b - s_acctbal) / 20000, 4) AS score FROM q JOIN supplier ON s_nationkey = k),
+r AS (SELECT *, row_number() OVER w AS r, coalesce(lead(score) OVER w, 0) AS runner_up FROM p WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, id)) SELECT query_id, id, score, runner_up FROM r WHERE r = 1 AND score >= 0.88 AND (score >= 0.999 OR round(score - runner_up, 6) >= 0.004)""")
+def best_match_margin(t):
+    q, s = t("customer"), t("supplier")
+    p = q.join(s, q["c_nationkey"] == s["s_nationkey"]).select(F.col("c_custkey").alias("query_id"), F.col("s_suppkey").alias("id"), F.round(1 - F.abs(F.col("c_acctbal") - F.col("s_acctbal")) / 20000, 4).alias("score"))
+    return resolve.unambiguous(p, 0.88, 0.999, 0.004).select("query_id", "id", "score", "runner_up")
+
+
+@query(f"SELECT record_id, CAST(len(list_intersect(a, b)) AS BIGINT) AS n_shared, CAST(len(list_distinct(list_concat(a, b))) AS BIGINT) AS n_words FROM (SELECT record_id, list_filter(string_split({_KEY.format('original_title')}, ' '), lambda x: x <> '') AS a, list_filter(string_split({_KEY.format('canonical_title')}, ' '), lambda x: x <> '') AS b FROM publication_resolution WHERE original_title IS NOT NULL AND canonical_title IS NOT NULL)")
+def jaccard_match(t):
+    r = t("publication_resolution").where("original_title is not null and canonical_title is not null").select("record_id", text.title_key(F.col("original_title")).alias("a"), text.title_key(F.col("canonical_title")).alias("b"))
+    return resolve.word_overlap(r, "a", "b").select("record_id", "n_shared", "n_words")
+
+
+@query()
+def name_rules(t):
+    a = t("article_faculty_attributions").where("faculty_name is not null").select("faculty_name").distinct().withColumn("k", F.element_at(F.split(text.name_key(F.col("faculty_name")), " "), -1))
+    r = t("faculty_registry").select("faculty_id", F.col("faculty_name").alias("roster_name")).withColumn("k", F.element_at(F.split(text.name_key(F.col("roster_name")), " "), -1))
+    return a.join(r, "k").select("faculty_name", "faculty_id", similarity.name_similarity(F.col("faculty_name"), F.col("roster_name")).alias("score"))
+
+
+@query()
+def roster_build(t):
+    return people.roster(t("publication_candidates").where("faculty_heading is not null"), "faculty_heading", "report_year", "report_file", F.col("report_file").startswith("dm_"), ["faculty publications", "edited volumes", "department overview"])
+
+
+@query()
+def citation_authors(t):
+    return people.citation_authors(t("publication_candidates").where("raw_citation is not null"), "record_id", "raw_citation", "report_year", t("faculty_registry"), "faculty_id", "faculty_name", "aliases", "report_years")
+
+
+@query()
+def attribution_rules(t):
+    names = t("publication_resolution").select(F.explode(text.split_list(F.col("authors"))).alias("name")).distinct()
+    blank = F.array().cast("array<string>")
+    a = names.select(F.col("name").alias("authorship_id"), "name", F.lit(None).cast("string").alias("author_id"), F.lit(None).cast("string").alias("orcid"), blank.alias("institutions"), blank.alias("years"))
+    p = t("faculty_registry").select(F.col("faculty_id").alias("person_id"), F.array_distinct(F.concat(F.array("faculty_name"), text.split_list(F.col("aliases")))).alias("aliases"), text.orcid(F.col("orcid")).alias("orcid"), blank.alias("author_ids"), blank.alias("institutions"), blank.alias("years"))
+    return people.decide(a, p)
+
+
+@query("""WITH l AS (SELECT record_id AS work_id, faculty_name AS person_id, CASE WHEN attribution_basis = 'report_owner' THEN 'owner' ELSE attribution_basis END AS basis, max(attribution_confidence) AS confidence FROM article_faculty_attributions WHERE attribution_basis <> 'openalex_authorship' GROUP BY 1, 2, 3),
+x AS (SELECT record_id AS work_id, faculty_name AS person_id, attribution_basis AS basis, max(attribution_confidence) AS confidence FROM article_faculty_attributions WHERE attribution_basis = 'openalex_authorship' GROUP BY 1, 2, 3),
+k AS (SELECT * FROM l WHERE NOT (basis = 'owner' AND work_id IN (SELECT work_id FROM x) AND NOT EXISTS (SELECT 1 FROM x WHERE x.work_id = l.work_id AND x.person_id = l.person_id))), u AS (SELECT *, 0 AS o FROM x UNION ALL SELECT *, 1 FROM k)
+SELECT work_id, person_id, basis, confidence FROM (SELECT *, row_number() OVER (PARTITION BY work_id, person_id ORDER BY confidence DESC NULLS LAST, o, basis) AS r FROM u) WHERE r = 1""")
+def evidence_merge(t):
+    a = t("article_faculty_attributions").where("attribution_basis is not null").groupBy(F.col("record_id").alias("work_id"), F.col("faculty_name").alias("person_id"), F.when(F.col("attribution_basis") == "report_owner", "owner").otherwise(F.col("attribution_basis")).alias("basis")).agg(F.max("attribution_confidence").alias("confidence"))
+    ext = a.where("basis = 'openalex_authorship'")
+    return people.merge_evidence(a.where("basis <> 'openalex_authorship'"), ext, ext)
+
+
+@query("SELECT faculty_name, count(DISTINCT record_id) AS n_records, string_agg(DISTINCT attribution_basis, ';' ORDER BY attribution_basis) AS bases, coalesce(bool_or(attribution_confidence < 0.5), FALSE) AS has_doubt FROM article_faculty_attributions GROUP BY 1")
+def identity_profiles(t):
+    a = t("article_faculty_attributions")
+    return a.groupBy("faculty_name").agg(F.count_distinct("record_id").alias("n_records"), F.array_join(F.array_sort(F.collect_set("attribution_basis")), ";").alias("bases"), F.coalesce(F.bool_or(F.col("attribution_confidence") < 0.5), F.lit(False)).alias("has_doubt"))
+
+
+# ---- extraction, review ---------------------------------------------------------------------------------------------
+@query()
+def title_cascade(t):
+    return extract.with_title(t("publication_candidates").where("raw_citation is not null").select("record_id", "raw_citation"), "raw_citation").select("record_id", "title", "method", "confidence")
+
+
+@query("SELECT record_id, regexp_matches(raw_citation, '(?i)\\b(?:on[\\s-]?going|submitted|working paper|reviewed\\s*-\\s*not accepted)\\b') AS ongoing FROM publication_candidates WHERE raw_citation IS NOT NULL")
+def ongoing_works(t):
+    return t("publication_candidates").where("raw_citation is not null").select("record_id", extract.is_ongoing(F.col("raw_citation")).alias("ongoing"))
+
+
+@query()
+def block_split(t):
+    return extract.page_blocks(t("documents").where("text is not null"), "doc_id", "text")
+
+
+@query()
+def cv_fold(t):
+    c = t("publication_candidates").where("faculty_heading is not null and raw_citation is not null")
+    return _cv(c)
+
+
+def _cv(c):
+    """Candidates as CV blocks: an owner line, a section line, then the citations of each owner and report."""
+    base = c.select(F.concat_ws("/", "report_file", "faculty_heading").alias("report"), "report_year", "faculty_heading", "raw_citation", "record_id")
+    head = base.select("report", "report_year", "faculty_heading").distinct()
+    owner = head.select("report", "report_year", F.lit(0).cast("long").alias("idx"), F.concat(F.lit("Name: "), "faculty_heading").alias("text"), F.lit("ReportHeader").alias("style"), F.lit(False).alias("bold"))
+    section = head.select("report", "report_year", F.lit(1).cast("long").alias("idx"), F.lit("Publications").alias("text"), F.lit("Heading2").alias("style"), F.lit(False).alias("bold"))
+    body = base.select("report", "report_year", (F.conv(F.substring("record_id", 1, 12), 16, 10).cast("long") + 2).alias("idx"), F.col("raw_citation").alias("text"), F.lit("").alias("style"), F.lit(False).alias("bold"))
+    return extract.fold_sections(owner.unionByName(section).unionByName(body))
+
+
+@query("""WITH b AS (SELECT c_custkey AS k, c_name AS name, c_mktsegment AS segment FROM customer), s AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 7 = 0 THEN upper(c_name) ELSE c_name END AS name, CASE WHEN c_acctbal < 0 THEN 'DEBTOR' ELSE c_mktsegment END AS segment FROM customer)
+SELECT b.k AS k, 'name' AS "column", s.name AS value FROM b JOIN s ON b.k = s.k WHERE b.name <> s.name UNION ALL SELECT b.k, 'segment', s.segment FROM b JOIN s ON b.k = s.k WHERE b.segment <> s.segment""")
+def cell_diff(t):
+    b = t("customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"), "c_acctbal")
+    s = b.withColumn("name", F.when(F.col("k") % 7 == 0, F.upper("name")).otherwise(F.col("name"))).withColumn("segment", F.when(F.col("c_acctbal") < 0, "DEBTOR").otherwise(F.col("segment")))
+    return review.changed_cells(s, b, "k", ["name", "segment"])
+
+
+@query("SELECT event_type AS feedback_category, count(*) AS n FROM events GROUP BY 1")
+def feedback_counts(t):
+    return t("events").groupBy(F.col("event_type").alias("feedback_category")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_id, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 20")
+def feedback_recent(t):
+    return t("events").orderBy(F.desc("ts"), F.desc("event_id")).limit(20).select("event_id", "event_type")
+
+
+@query("SELECT event_id, coalesce((event_type = 'click' AND value < 50) OR event_type IN ('purchase', 'signup'), FALSE) AS valid FROM events")
+def feedback_validate(t):
+    f = t("events").select("event_id", F.col("event_type").alias("category"), F.when(F.col("value") < 50, "low").otherwise("high").alias("type"), F.col("event_id").cast("string").alias("target_id"), F.lit("").alias("contact_email"))
+    ok, bad = review.checked_feedback(f, {"click": ["low"], "purchase": ["low", "high"], "signup": ["low", "high"]}, {"target_id": 64})
+    return ok.select("event_id", F.lit(True).alias("valid")).unionByName(bad.select("event_id", F.lit(False).alias("valid")))
