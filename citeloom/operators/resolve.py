@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.functions.similarity import title_score, token_set, year_adjusted
+from citeloom.functions.similarity import containment, jaccard, sequence_ratio, token_set, year_adjusted
 from citeloom.functions.text import normalized_title
 from citeloom.operators.keep import with_runner_up
 
@@ -24,12 +24,21 @@ def candidates(queries: DataFrame, catalogue: DataFrame, query_id: str, query: s
     return q.join(c, "k").select("query_id", "id").distinct()
 
 
-def scored(queries: DataFrame, catalogue: DataFrame, query_id: str, query: str, id: str, title: str, query_year: str | None = None, year: str | None = None) -> DataFrame:
-    """(query_id, id, score) of the candidate pairs: title score with the year adjustment where both years are given."""
+def scored(queries: DataFrame, catalogue: DataFrame, query_id: str, query: str, id: str, title: str, query_year: str | None = None, year: str | None = None, floor: float = 0.0) -> DataFrame:
+    """(query_id, id, score) of the candidate pairs: title score with the year adjustment where both years are given.
+
+    floor: pairs that cannot reach this score are left out before the sequence ratio is computed. Its bound is exact:
+    the ratio is at most twice the shorter length over both, the words' part is known, and a year adds 0.04 at most.
+    """
     pairs = candidates(queries, catalogue, query_id, query, id, title)
-    q = queries.select(F.col(query_id).alias("query_id"), F.col(query).alias("q"), (F.col(query_year) if query_year else F.lit(None)).cast("int").alias("qy"))
-    c = catalogue.select(F.col(id).alias("id"), F.col(title).alias("t"), (F.col(year) if year else F.lit(None)).cast("int").alias("y"))
-    p = pairs.join(q, "query_id").join(c, "id").withColumn("s", title_score(F.col("q"), F.col("t")))
+    q = queries.select(F.col(query_id).alias("query_id"), normalized_title(F.col(query)).alias("q"), (F.col(query_year) if query_year else F.lit(None)).cast("int").alias("qy"))
+    c = catalogue.select(F.col(id).alias("id"), normalized_title(F.col(title)).alias("t"), (F.col(year) if year else F.lit(None)).cast("int").alias("y"))
+    p = pairs.join(q, "query_id").join(c, "id")
+    p = p.withColumn("by_words", 0.3 * jaccard(token_set(F.col("q")), token_set(F.col("t"))) + 0.2 * containment(token_set(F.col("q")), token_set(F.col("t"))))
+    la, lb = F.char_length("q"), F.char_length("t")
+    reach = F.col("by_words") + F.least(la, lb) / (la + lb) + 0.04 + 1e-4
+    s = F.round(0.5 * sequence_ratio(F.col("q"), F.col("t")) + F.col("by_words"), 4)
+    p = p.where(reach >= floor).withColumn("s", s)
     return p.select("query_id", "id", year_adjusted(F.col("s"), F.col("qy"), F.col("y")).alias("score"))
 
 

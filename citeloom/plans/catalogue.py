@@ -473,8 +473,8 @@ def fuzzy_resolve(t):
     c = t("publication_resolution").where("match_status = 'matched'")
     # one catalogue row per title: copies need not be compared again
     c = keep.top_per_key(c, [text.normalized_title(F.col("canonical_title"))], [F.asc("record_id")])
-    s = resolve.scored(q, c, "record_id", "title", "record_id", "canonical_title", "report_year", "publication_year")
-    return resolve.best(s).select("query_id", "id", "score")
+    s = resolve.scored(q, c, "record_id", "title", "record_id", "canonical_title", "report_year", "publication_year", floor=0.86)
+    return resolve.best(s, 0.86).select("query_id", "id", "score")
 
 
 @query("""WITH q AS (SELECT c_custkey AS query_id, c_nationkey AS k, c_acctbal AS b FROM customer), p AS (SELECT query_id, s_suppkey AS id, round(1 - abs(b - s_acctbal) / 20000, 4) AS score FROM q JOIN supplier ON s_nationkey = k),
