@@ -23,6 +23,8 @@ WORD = re.compile(r"[^\W\d_]+")
 GRID = np.linspace(-2, 8, 161)
 BINS = np.linspace(-2, 8, 21)
 BUCKETS = 1 << 14
+#: A text counts in a word's statistics as so many words at most; all its words count, with less weight each.
+FAIR_WORDS = 400
 
 
 def counted(docs: DataFrame, doc_id: str, text: str, rating: str) -> DataFrame:
@@ -101,7 +103,9 @@ def alternate(table: DataFrame, rounds: int = 10, tolerance: float = 2e-3):
                 best, doc, at, n = _levels(pdf, *(share.value if share is not None else (np.zeros(BUCKETS), np.zeros(BUCKETS), np.zeros(len(GRID)))))
                 level = np.where(pdf["rating"].notna(), pdf["rating"], GRID[best])
                 bin_ = np.clip(np.round((level + 2) / 0.5).astype(int), 0, len(BINS) - 1)
-                counts += np.bincount(bin_[doc] * BUCKETS + at, weights=n, minlength=len(counts))
+                total = np.bincount(doc, weights=n, minlength=len(pdf))
+                fair = np.minimum(1.0, FAIR_WORDS / np.maximum(total, 1.0))  # no single text outweighs many others
+                counts += np.bincount(bin_[doc] * BUCKETS + at, weights=n * fair[doc], minlength=len(counts))
                 moved = True
             nz = np.flatnonzero(counts) if moved else np.zeros(0, int)
             yield pd.DataFrame({"k": nz.astype(np.int32), "n": counts[nz]})
