@@ -122,13 +122,6 @@ def inverted_text(index: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(spots), lambda s: s["w"]), " ")
 
 
-def word_positions(x: Column) -> Column:
-    """word -> positions map of a text, the inverse of inverted_text."""
-    words = F.split(collapse(x), " ")
-    pos = F.sequence(F.lit(0), F.size(words) - 1)
-    return F.map_from_arrays(F.array_distinct(words), F.transform(F.array_distinct(words), lambda w: F.filter(pos, lambda p: F.get(words, p) == w)))
-
-
 def orcid(x: Column) -> Column:
     """The bare upper-case ORCID if pattern and ISO 7064 mod 11-2 check digit hold, else null."""
     bare = F.upper(F.regexp_extract(F.trim(x), "(?i)^(?:https?://orcid\\.org/)?(\\d{4}-\\d{4}-\\d{4}-\\d{3}[\\dX])$", 1))

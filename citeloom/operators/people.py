@@ -84,7 +84,12 @@ def decide(authorships: DataFrame, people: DataFrame) -> DataFrame:
     """
     alias = people.select("person_id", F.explode("aliases").alias("alias")).withColumn("i", F.substring(name_key(F.col("alias")), 1, 1))
     a = authorships.withColumn("i", F.substring(name_key(F.col("name")), 1, 1))
-    named = a.select("authorship_id", "name", "i").join(alias, "i").select("authorship_id", "person_id", name_similarity(F.col("name"), F.col("alias")).alias("s")).groupBy("authorship_id", "person_id").agg(F.max("s").alias("s")).where("s > 0")
+    # a surname ratio of 0.88 is out of reach if too many letters of one surname are not in the other
+    sa, sb = F.element_at(F.split(name_key(F.col("name")), " "), -1), F.element_at(F.split(name_key(F.col("alias")), " "), -1)
+    least = 0.44 * (F.char_length(sa) + F.char_length(sb)) - 1e-9
+    held = lambda x, y: F.char_length(x) - F.char_length(F.call_function("translate", x, y, F.lit("")))
+    reach = (held(sa, sb) >= least) & (held(sb, sa) >= least)
+    named = a.select("authorship_id", "name", "i").join(alias, "i").where(reach).select("authorship_id", "person_id", name_similarity(F.col("name"), F.col("alias")).alias("s")).groupBy("authorship_id", "person_id").agg(F.max("s").alias("s")).where("s > 0")
     by_id = authorships.where("orcid is not null").select("authorship_id", "orcid").join(people.where("orcid is not null").select("person_id", "orcid"), "orcid").select("authorship_id", "person_id", F.lit(0.0).alias("s"))
     pairs = named.unionByName(by_id).groupBy("authorship_id", "person_id").agg(F.max("s").alias("s"))
     j = pairs.join(authorships, "authorship_id").join(people.select("person_id", F.col("orcid").alias("p_orcid"), F.col("author_ids").alias("p_ids"), F.col("institutions").alias("p_inst"), F.col("years").alias("p_years")), "person_id")

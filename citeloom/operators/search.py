@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.functions.numeric import dot, unit
+from citeloom.functions.text import collapse, inverted_text
 from citeloom.operators.keep import top_per_key
 
 
@@ -14,6 +15,18 @@ def documents(df: DataFrame, kind: str, id: str, title: Column, *text: Column) -
     return df.select(F.lit(kind).alias("entity_type"), F.col(id).cast("string").alias("entity_id"), title.alias("title"), F.lower(F.concat_ws(" ", title, *text)).alias("text"))
 
 
+def inverted_index(df: DataFrame, id: str, text: str) -> DataFrame:
+    """(id, word, positions) of every text's words as they are written; null and blank texts have none."""
+    words = df.select(id, F.posexplode(F.split(collapse(F.col(text)), " ")).alias("p", "word")).where("word <> ''")
+    return words.groupBy(id, "word").agg(F.array_sort(F.collect_list("p")).alias("positions"))
+
+
+def indexed_texts(index: DataFrame, id: str) -> DataFrame:
+    """(id, text): the texts of an inverted index."""
+    words = index.groupBy(id).agg(F.map_from_entries(F.collect_list(F.struct("word", "positions"))).alias("m"))
+    return words.select(id, inverted_text(F.col("m")).alias("text"))
+
+
 def keyword(docs: DataFrame, query: str, boosts: dict[str, int] | None = None, k: int = 12) -> DataFrame:
     """The k best documents: how many of the query's words they contain, plus a boost by entity type for any hit.
 

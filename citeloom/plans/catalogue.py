@@ -228,16 +228,15 @@ def unique_names(t):
     return best.join(n.groupBy("name_key").agg(F.sum("n").alias("n_rows")), "name_key")
 
 
-@query("SELECT record_id, regexp_replace(trim(regexp_replace(replace(regexp_replace(abstract, '<[^>]+>', ' ', 'g'), '&amp;', '&'), '\\s+', ' ', 'g')), '^ +| +$', '', 'g') AS plain FROM publication_resolution WHERE abstract LIKE '%<%' OR abstract LIKE '%&amp;%'")
+@query("SELECT record_id, regexp_replace(trim(regexp_replace(replace(regexp_replace(abstract, '<[^>]+>', ' ', 'g'), '&amp;', '&'), '\\s+', ' ', 'g')), '^ +| +$', '', 'g') AS plain FROM publication_resolution WHERE abstract IS NOT NULL")
 def html_clean(t):
-    r = t("publication_resolution").where(F.col("abstract").contains("<") | F.col("abstract").contains("&amp;"))
+    r = t("publication_resolution").where("abstract is not null")
     return r.select("record_id", text.html_text(F.col("abstract")).alias("plain"))
 
 
-@query("SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS rebuilt FROM documents WHERE length(text) BETWEEN 1 AND 400 AND text = trim(text) AND text NOT LIKE '% %'")
+@query("SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS rebuilt FROM documents WHERE trim(regexp_replace(text, '\\s+', ' ', 'g')) <> ''")
 def inverted_index_text(t):
-    d = t("documents").where(F.char_length("text").between(1, 400) & (F.col("text") == F.trim("text")) & ~F.col("text").contains(" "))
-    return d.select("doc_id", text.inverted_text(text.word_positions(F.col("text"))).alias("rebuilt"))
+    return search.indexed_texts(search.inverted_index(t("documents"), "doc_id", "text"), "doc_id").withColumnRenamed("text", "rebuilt")
 
 
 @query("""WITH o AS (SELECT faculty_id, orcid, replace(upper(orcid), '-', '') AS d FROM faculty_registry WHERE regexp_matches(upper(trim(orcid)), '^[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{3}[0-9X]$')),
