@@ -109,8 +109,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in QUERIES}
 
 
+def _same_form_sql(col: str) -> str:
+    """The look-alike mapping in SQL, for keys: letters of other scripts are mapped in every word, which groups the same."""
+    pairs = textforms.STYLED_ONE | textforms.ALIKE_MAP
+    quote = lambda s: s.replace("'", "''")
+    x = f"regexp_replace({col}, '[{textforms.INVISIBLE}]', '', 'g')"
+    for a, b in textforms.STYLED_MORE.items():
+        x = f"replace({x}, '{a}', '{b}')"
+    return f"nfc_normalize(translate({x}, '{quote(''.join(pairs))}', '{quote(''.join(pairs.values()))}'))"
+
+
+def _p3_sql() -> str:
+    bag = lambda c: f"array_to_string(list_sort(list_filter(regexp_split_to_array(lower({_same_form_sql(c)}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '')), ' ')"
+    bare = "lower(regexp_replace(doi, '\\s+', '', 'g'))"
+    doi = f"nullif(regexp_replace(CASE WHEN regexp_matches({bare}, '10[.][0-9]{{4,}}/') THEN regexp_extract({bare}, '10[.][0-9]{{4,}}/.*') ELSE regexp_replace({bare}, '^(https?://[^/]+/|doi:?)', '') END, '[^\\p{{L}}\\p{{N}}]+', '', 'g'), '')"
+    pairs = lambda t: f"SELECT '{t}' AS table_name, first AS record_id, record_id AS copy_record_id FROM (SELECT record_id, min(record_id) OVER (PARTITION BY bag, doi) AS first FROM {t[12:]} WHERE bag <> '') WHERE record_id <> first"
+    return f"WITH candidates AS (SELECT record_id, {bag('title')} AS bag, NULL AS doi FROM publication_candidates WHERE title IS NOT NULL), resolution AS (SELECT record_id, {bag('canonical_title')} AS bag, {doi} AS doi FROM publication_resolution WHERE match_status = 'matched' AND canonical_title IS NOT NULL) {pairs('publication_candidates')} UNION ALL {pairs('publication_resolution')}"
+
+
 def oracle_sql() -> dict[str, str]:
-    """SQL where it can express the problem: characters of p6 by class, the rest is tested by brute force."""
+    """SQL where it can express the problem: p3 by keys, p6 by classes of characters; the rest is tested by brute force."""
     odd = "\\x{AD}\\x{A0}\\x{200B}-\\x{200F}\\x{2060}-\\x{2064}\\x{FEFF}\\x{1680}\\x{2000}-\\x{200A}\\x{202F}\\x{205F}\\x{3000}\\x{2010}\\x{2011}\\x{2212}\\x{FB00}-\\x{FB06}\\x{FF01}-\\x{FF5E}\\x{1D400}-\\x{1D7FF}\\x{251}\\x{261}"
     alone = "".join(textforms.ALIKE_ALONE)
     parts = []
@@ -119,4 +137,4 @@ def oracle_sql() -> dict[str, str]:
         mixed = f"regexp_matches({clean}, '\\p{{Latin}}\\p{{M}}*[\\p{{Cyrillic}}\\p{{Greek}}\\p{{Armenian}}]|[\\p{{Cyrillic}}\\p{{Greek}}\\p{{Armenian}}]\\p{{M}}*\\p{{Latin}}')"
         only = f"regexp_matches({clean}, '(^|[^\\p{{L}}\\p{{M}}])[{alone}]+([^\\p{{L}}\\p{{M}}]|$)') AND NOT regexp_matches({clean}, '(^|[^\\p{{L}}\\p{{M}}])[\\p{{Cyrillic}}\\p{{Greek}}]{{2,}}([^\\p{{L}}\\p{{M}}]|$)')"
         parts.append(f"SELECT record_id, '{f}' AS field FROM publication_candidates WHERE {f} IS NOT NULL AND (regexp_matches({f}, '[{odd}]|\\p{{M}}') OR {mixed} OR ({only}))")
-    return {"p6_found": " UNION ".join(parts)}
+    return {"p3_found": _p3_sql(), "p6_found": " UNION ".join(parts)}
