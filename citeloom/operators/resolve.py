@@ -7,21 +7,28 @@ from pyspark.sql import functions as F
 
 from citeloom.functions.similarity import containment, jaccard, sequence_ratio, token_set, year_adjusted
 from citeloom.functions.text import normalized_title
-from citeloom.operators.keep import with_runner_up
+from citeloom.operators.keep import top_per_key, with_runner_up
 
 
-def block_keys(title: Column, n: int = 5) -> Column:
-    """Hashes of every run of n words of the normalised title (of the whole title if it is shorter)."""
-    w = F.array_remove(F.split(normalized_title(title), " "), "")
+def block_keys(normal: Column, n: int = 5) -> Column:
+    """Hashes of every run of n words of a normalised title (of the whole title if it is shorter)."""
+    w = F.array_remove(F.split(normal, " "), "")
     runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - n + 1, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(w, i, n), " ")))
     return F.when(F.size(w) > 0, F.array_distinct(runs))
 
 
-def candidates(queries: DataFrame, catalogue: DataFrame, query_id: str, query: str, id: str, title: str) -> DataFrame:
-    """(query_id, id): pairs that share five running words; each side's keys are hashed once and joined on equality."""
-    q = queries.select(F.col(query_id).alias("query_id"), F.explode(block_keys(F.col(query))).alias("k"))
-    c = catalogue.select(F.col(id).alias("id"), F.explode(block_keys(F.col(title))).alias("k"))
-    return q.join(c, "k").select("query_id", "id").distinct()
+def candidates(queries: DataFrame, catalogue: DataFrame, query_id: str, query: str, id: str, title: str, rarest: int = 3) -> DataFrame:
+    """(query_id, id): pairs that share one of the query's `rarest` rarest five-word runs among those the catalogue has.
+
+    Rarity is the number of catalogue rows that hold a run. Runs that many titles share lead to a pair only where a
+    query has nothing rarer, so the number of pairs follows the number of queries. Equal queries are blocked once.
+    """
+    q = queries.select(F.col(query_id).alias("query_id"), normalized_title(F.col(query)).alias("t")).withColumn("h", F.xxhash64("t")).where("t <> ''")
+    keys = q.groupBy("h").agg(F.first("t").alias("t")).select("h", F.explode(block_keys(F.col("t"))).alias("k"))
+    c = catalogue.select(F.col(id).alias("id"), F.explode(block_keys(normalized_title(F.col(title)))).alias("k"))
+    held = c.groupBy("k").agg(F.count("*").alias("n"))
+    rare = top_per_key(keys.join(held, "k"), ["h"], [F.asc("n"), F.asc("k")], rarest).select("h", "k")
+    return rare.join(c, "k").select("h", "id").distinct().join(q.select("query_id", "h"), "h").select("query_id", "id")
 
 
 def scored(queries: DataFrame, catalogue: DataFrame, query_id: str, query: str, id: str, title: str, query_year: str | None = None, year: str | None = None, floor: float = 0.0) -> DataFrame:
