@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from difflib import SequenceMatcher
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -77,3 +79,7 @@ def name_similarity(a: Column, b: Column) -> Column:
         F.when((ka == "") | (kb == ""), 0.0).when(ka == kb, 1.0).when((surname < 0.88) | (_letter(fa) != _letter(fb)), 0.0)
         .when(compatible(a, b), 0.97).when((sa == sb) & (fa == fb), 0.985).when((sa == sb) & one, 0.96).otherwise(blend)
     )
+
+
+# functions travel with their code, so executors need not have the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

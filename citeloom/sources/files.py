@@ -6,11 +6,13 @@ import io
 import json
 import shutil
 import subprocess
+import sys
 import tempfile
 import zipfile
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -129,3 +131,7 @@ def authorships(text: F.Column) -> F.Column:
 
 def compact_json(value: object) -> str:
     return json.dumps(value, ensure_ascii=False, allow_nan=False, separators=(",", ":"))
+
+
+# functions travel with their code, so executors need not have the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
