@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -18,13 +19,19 @@ def by_value(module) -> None:
     cloudpickle.register_pickle_by_value(module)
 
 
+@functools.cache
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="citeloom-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a temporary one only where the session names none (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="citeloom-")
-        spark.conf.set("spark.checkpoint.dir", folder) if spark.conf.isModifiable("spark.checkpoint.dir") else None
-    return folder
+    return spark.conf.get("spark.checkpoint.dir", None) or _own_dir()
+
+
+def share(spark: SparkSession, value):
+    """A broadcast of an object together with the code of its class; pickle.loads(share.value) gives it back."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import pickle
 import re
 import sys
 from collections import defaultdict
@@ -221,10 +222,10 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
     out = None
     for b in range(blocks):
         rows = it if blocks == 1 else it.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == b)
-        index = spark.sparkContext.broadcast(Index(sorted((r.i, r.t) for r in rows.toLocalIterator()), common_share, common_least))
+        index = _util.share(spark, Index(sorted((r.i, r.t) for r in rows.toLocalIterator()), common_share, common_least))
 
         def scan(batches, index=index):
-            ix = index.value
+            ix = pickle.loads(index.value)
             for pdf in batches:
                 ids, texts, found = pdf["doc"].tolist(), pdf["text"].tolist(), []
                 part = np.cumsum([len(t) for t in texts]) // PART_CHARS
