@@ -2,51 +2,81 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeloom.functions.similarity import containment, jaccard, sequence_ratio, token_set, year_adjusted
 from citeloom.functions.text import normalized_title
-from citeloom.operators.keep import top_per_key, with_runner_up
+from citeloom.operators.keep import with_runner_up
 
 
-def block_keys(normal: Column, n: int = 5) -> Column:
-    """Hashes of every run of n words of a normalised title (of the whole title if it is shorter)."""
-    w = F.array_remove(F.split(normal, " "), "")
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - n + 1, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(w, i, n), " ")))
-    return F.when(F.size(w) > 0, F.array_distinct(runs))
+#: What a score has beside the words' part at most: half a sequence ratio of 1, a near year, and the rounding to 4 digits.
+BESIDE = 0.5 + 0.04 + 1e-4
 
 
-def candidates(queries: DataFrame, catalogue: DataFrame, query_id: str, query: str, id: str, title: str, rarest: int = 3) -> DataFrame:
-    """(query_id, id): pairs that share one of the query's `rarest` rarest five-word runs among those the catalogue has.
+def _reach(shared: Column, nq: Column, nc: Column, lq: Column, lc: Column) -> Column:
+    """The highest score of a pair with so many shared words, words and letters."""
+    return 0.3 * shared / (nq + nc - shared) + 0.2 * shared / nq + F.least(lq, lc) / (lq + lc) + F.lit(BESIDE - 0.5)
 
-    Rarity is the number of catalogue rows that hold a run. Runs that many titles share lead to a pair only where a
-    query has nothing rarer, so the number of pairs follows the number of queries. Equal queries are blocked once.
+
+def _profiles(titles: DataFrame) -> DataFrame:
+    """(h, n, l, lo, hi, ws) of distinct normalised titles (t): hash, words, letters, 128 bits of the words, their hashes."""
+    ws = F.transform(token_set(F.col("t")), lambda w: F.xxhash64(w))
+    bits = lambda first: F.aggregate("ws", F.lit(0).cast("long"), lambda a, w: a.bitwiseOR(F.when(F.pmod(w, F.lit(128)).between(first, first + 63), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(w, F.lit(64)).cast("int"))).otherwise(F.lit(0).cast("long"))))
+    return titles.select(F.xxhash64("t").alias("h"), F.char_length("t").alias("l"), ws.alias("ws")).withColumns({"n": F.size("ws"), "lo": bits(0), "hi": bits(64)})
+
+
+def title_pairs(queries: DataFrame, catalogue: DataFrame, floor: float) -> DataFrame:
+    """(q, c): hashes of all pairs of distinct normalised titles (column t) that can reach a score, and some others.
+
+    An exact prefix filter. To reach the floor the words' part must give floor - BESIDE, for which a share of the words
+    of either title must be in the other; so the first word that two titles have in common, in the order from the
+    catalogue's rarest to its most frequent, is among the first of each. Postings carry what bounds the score by the number
+    of words, letters and the places of the common word, and pairs beyond it never leave the join. With a floor that
+    titles without a common word can reach, all pairs come out.
     """
-    q = queries.select(F.col(query_id).alias("query_id"), normalized_title(F.col(query)).alias("t")).withColumn("h", F.xxhash64("t")).where("t <> ''")
-    keys = q.groupBy("h").agg(F.first("t").alias("t")).select("h", F.explode(block_keys(F.col("t"))).alias("k"))
-    c = catalogue.select(F.col(id).alias("id"), F.explode(block_keys(normalized_title(F.col(title)))).alias("k"))
-    held = c.groupBy("k").agg(F.count("*").alias("n"))
-    rare = top_per_key(keys.join(held, "k"), ["h"], [F.asc("n"), F.asc("k")], rarest).select("h", "k")
-    return rare.join(c, "k").select("h", "id").distinct().join(q.select("query_id", "h"), "h").select("query_id", "id")
+    q, c = _profiles(queries), _profiles(catalogue)
+    least = floor - BESIDE
+    if least <= 0:
+        return q.select(F.col("h").alias("q")).crossJoin(c.select(F.col("h").alias("c")))
+    held = c.select(F.explode("ws").alias("w")).groupBy("w").agg(F.count("*").alias("f"))
+
+    def postings(titles: DataFrame, share: float, side: str) -> DataFrame:
+        words = titles.select("h", "n", "l", "lo", "hi", F.explode("ws").alias("w")).join(held, "w", "left")
+        first = F.col("n") - F.greatest(F.ceil(F.col("n") * share - 1e-9), F.lit(1)) + 1
+        rank = F.row_number().over(Window.partitionBy("h").orderBy(F.coalesce("f", F.lit(0)), "w"))
+        kept = words.withColumn("at", rank).where((F.col("at") <= first) & F.col("f").isNotNull())
+        return kept.select("w", *[F.col(x).alias(side + x) for x in ("h", "n", "l", "lo", "hi", "at")])
+
+    # all words of a query may be in the title (Jaccard alone is lost to its length), or none of its own be left over
+    left, right = postings(q, least / 0.5, "q_"), postings(c, (least - 0.2) / 0.3, "c_")
+    tasks = 4 * int(q.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = F.col
+    lost = lambda a, b: sum(F.bit_count(x(a + s).bitwiseAND(F.bitwise_not(x(b + s)))) for s in ("lo", "hi"))
+    shared = F.least(x("q_n") - x("q_at") + 1, x("c_n") - x("c_at") + 1, x("q_n") - lost("q_", "c_"), x("c_n") - lost("c_", "q_"))
+    near = _reach(shared, x("q_n"), x("c_n"), x("q_l"), x("c_l")) >= floor
+    j = left.repartition(tasks, "w").join(right.repartition(tasks, "w"), "w").where(near)
+    return j.select(x("q_h").alias("q"), x("c_h").alias("c")).distinct()
 
 
 def scored(queries: DataFrame, catalogue: DataFrame, query_id: str, query: str, id: str, title: str, query_year: str | None = None, year: str | None = None, floor: float = 0.0) -> DataFrame:
     """(query_id, id, score) of the candidate pairs: title score with the year adjustment where both years are given.
 
-    floor: pairs that cannot reach this score are left out before the sequence ratio is computed. Its bound is exact:
-    the ratio is at most twice the shorter length over both, the words' part is known, and a year adds 0.04 at most.
+    floor: all pairs that reach this score come out; pairs that cannot are left out before the sequence ratio is computed,
+    by title_pairs() and the exact words' part. Equal titles are compared once, whatever their years; the year
+    adjustment then meets every row.
     """
-    pairs = candidates(queries, catalogue, query_id, query, id, title)
-    q = queries.select(F.col(query_id).alias("query_id"), normalized_title(F.col(query)).alias("q"), (F.col(query_year) if query_year else F.lit(None)).cast("int").alias("qy"))
-    c = catalogue.select(F.col(id).alias("id"), normalized_title(F.col(title)).alias("t"), (F.col(year) if year else F.lit(None)).cast("int").alias("y"))
-    p = pairs.join(q, "query_id").join(c, "id")
-    p = p.withColumn("by_words", 0.3 * jaccard(token_set(F.col("q")), token_set(F.col("t"))) + 0.2 * containment(token_set(F.col("q")), token_set(F.col("t"))))
-    la, lb = F.char_length("q"), F.char_length("t")
-    reach = F.col("by_words") + F.least(la, lb) / (la + lb) + 0.04 + 1e-4
-    s = F.round(0.5 * sequence_ratio(F.col("q"), F.col("t")) + F.col("by_words"), 4)
-    p = p.where(reach >= floor).withColumn("s", s)
-    return p.select("query_id", "id", year_adjusted(F.col("s"), F.col("qy"), F.col("y")).alias("score"))
+    q = queries.select(F.col(query_id).alias("query_id"), normalized_title(F.col(query)).alias("t"), (F.col(query_year) if query_year else F.lit(None)).cast("int").alias("qy")).where("t <> ''")
+    c = catalogue.select(F.col(id).alias("id"), normalized_title(F.col(title)).alias("t"), (F.col(year) if year else F.lit(None)).cast("int").alias("y")).where("t <> ''")
+    tq, tc = q.select("t").distinct(), c.select("t").distinct()
+    text = lambda d, h, name: d.select(F.xxhash64("t").alias(h), F.col("t").alias(name))
+    p = title_pairs(tq, tc, floor).join(text(tq, "q", "a"), "q").join(text(tc, "c", "b"), "c")
+    p = p.withColumn("by_words", 0.3 * jaccard(token_set(F.col("a")), token_set(F.col("b"))) + 0.2 * containment(token_set(F.col("a")), token_set(F.col("b"))))
+    la, lb = F.char_length("a"), F.char_length("b")
+    p = p.where(F.col("by_words") + F.least(la, lb) / (la + lb) + F.lit(BESIDE - 0.5) >= floor)
+    p = p.select("q", "c", F.round(0.5 * sequence_ratio(F.col("a"), F.col("b")) + F.col("by_words"), 4).alias("s")).where(F.col("s") + 0.04 + 1e-9 >= floor)
+    rows = p.join(q.select(F.xxhash64("t").alias("q"), "query_id", "qy"), "q").join(c.select(F.xxhash64("t").alias("c"), "id", "y"), "c")
+    return rows.select("query_id", "id", year_adjusted(F.col("s"), F.col("qy"), F.col("y")).alias("score"))
 
 
 def best(pairs: DataFrame, least: float = 0.86) -> DataFrame:

@@ -86,6 +86,18 @@ def test_resolution(spark):
     assert resolve.unambiguous(p).count() == 0
 
 
+def test_resolution_meets_every_pair_over_the_floor(spark):
+    q = spark.createDataFrame([("q1", "Grid reliability among tribal farmworkers of Trealut: results under matching"), ("q2", "Measuring urban heat stress across coastal towns")], "q string, t string")
+    more = [(f"c{i}", f"{w} tribal farmworkers of Trealut: results under matching") for i, w in enumerate(("Solar leasing near", "Flood insurance for", "Donor fatigue with"))]
+    # c7 shares only runs with q1 that others have too, c8 no run of five words with q2; c6 holds the rare runs of q1
+    c = spark.createDataFrame(more + [("c6", "Grid reliability among tribal farmworkers of Trealut"), ("c7", "Grid reliability amnog tribal farmworkers of Trealut: results under matching"), ("c8", "Measuring urban heat stres across coastal towns")], "id string, t string")
+    every = resolve.scored(q, c, "q", "t", "id", "t")
+    assert every.count() == 12
+    over = resolve.scored(q, c, "q", "t", "id", "t", floor=0.86).where("score >= 0.86")
+    assert rows(over) == rows(every.where("score >= 0.86"))
+    assert rows(resolve.best(over), "query_id", "id") == [("q1", "c7"), ("q2", "c8")]
+
+
 def test_people(spark):
     h = spark.createDataFrame([("Ann Lee", 2001, "r1"), ("ANN LEE", 2002, "dm"), ("Ann Lee", 2001, "r1"), ("Books", 2001, "r1"), (None, 1, "r")], "n string, y int, s string")
     r = people.roster(h, "n", "y", "s", F.col("s") == "dm").collect()
