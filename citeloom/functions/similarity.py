@@ -17,7 +17,7 @@ from citeloom.functions.text import name_key, normalized_title
 @F.pandas_udf(DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp ratio of each pair; the second string is the reference one. Null gives 0."""
-    return pd.Series([SequenceMatcher(None, x, y).ratio() if x and y else 0.0 for x, y in zip(a, b)], dtype="float64")
+    return pd.Series([(1.0 if x == y else SequenceMatcher(None, x, y).ratio()) if x and y else 0.0 for x, y in zip(a, b)], dtype="float64")
 
 
 def jaccard(a: Column, b: Column) -> Column:

@@ -53,8 +53,9 @@ def title_pairs(queries: DataFrame, catalogue: DataFrame, floor: float) -> DataF
     tasks = 4 * int(q.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     x = F.col
     lost = lambda a, b: sum(F.bit_count(x(a + s).bitwiseAND(F.bitwise_not(x(b + s)))) for s in ("lo", "hi"))
-    shared = F.least(x("q_n") - x("q_at") + 1, x("c_n") - x("c_at") + 1, x("q_n") - lost("q_", "c_"), x("c_n") - lost("c_", "q_"))
-    near = _reach(shared, x("q_n"), x("c_n"), x("q_l"), x("c_l")) >= floor
+    reach = lambda shared: _reach(shared, x("q_n"), x("c_n"), x("q_l"), x("c_l")) >= floor
+    # the places of the common word settle most pairs, before bits are counted
+    near = reach(F.least(x("q_n") - x("q_at") + 1, x("c_n") - x("c_at") + 1)) & reach(F.least(x("q_n") - lost("q_", "c_"), x("c_n") - lost("c_", "q_")))
     j = left.repartition(tasks, "w").join(right.repartition(tasks, "w"), "w").where(near)
     return j.select(x("q_h").alias("q"), x("c_h").alias("c")).distinct()
 

@@ -470,9 +470,11 @@ def keyword_search(t):
 def fuzzy_resolve(t):
     q = t("publication_candidates").where("title is not null")
     c = t("publication_resolution").where("match_status = 'matched'")
-    # one catalogue row per title: copies need not be compared again
-    c = keep.top_per_key(c, [text.normalized_title(F.col("canonical_title"))], [F.asc("record_id")])
+    # one catalogue row per title and year: other copies have the same score and a greater id
+    c = keep.top_per_key(c, [text.normalized_title(F.col("canonical_title")), "publication_year"], [F.asc("record_id")])
     s = resolve.scored(q, c, "record_id", "title", "record_id", "canonical_title", "report_year", "publication_year", floor=0.86)
+    # rows below are dropped before the best is sought
+    s = s.where("score >= 0.86")
     return resolve.best(s, 0.86).select("query_id", "id", "score")
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from citeloom.operators import extract, graph, impact, keep, people, resolve, review, search, topics
+from citeloom.plans import catalogue
 
 
 def rows(df, *cols):
@@ -98,6 +99,15 @@ def test_resolution_meets_every_pair_over_the_floor(spark):
     assert rows(resolve.best(over), "query_id", "id") == [("q1", "c7"), ("q2", "c8")]
 
 
+def test_fuzzy_resolve_meets_every_year_of_a_title(spark, tmp_path):
+    spark.createDataFrame([("q1", "Measuring the urban heat of small towns", 2001), ("q2", "Toward food sovereignty with bilingual households", 2001)], "record_id string, title string, report_year int").write.parquet(f"{tmp_path}/publication_candidates.parquet")
+    c = [("r1", "Measuring the urban heat of small towns", 1990), ("r2", "Measuring the Urban Heat of Small Towns", 2001), ("r3", "Toward food sovereignty with bilingual household", 1990), ("r4", "Toward food sovereignty with bilingual household", None), ("r5", "Toward food sovereignty with bilingual household", 2002)]
+    spark.createDataFrame([(*r, "matched") for r in c], "record_id string, canonical_title string, publication_year int, match_status string").write.parquet(f"{tmp_path}/publication_resolution.parquet")
+    got = rows(catalogue.queries()["fuzzy_resolve"](spark, str(tmp_path)), "query_id", "id")
+    # with the year of r1 alone q1 has a lower score, with that of r3 alone q2 has no match
+    assert got == [("q1", "r2"), ("q2", "r5")]
+
+
 def test_people(spark):
     h = spark.createDataFrame([("Ann Lee", 2001, "r1"), ("ANN LEE", 2002, "dm"), ("Ann Lee", 2001, "r1"), ("Books", 2001, "r1"), (None, 1, "r")], "n string, y int, s string")
     r = people.roster(h, "n", "y", "s", F.col("s") == "dm").collect()
