@@ -75,6 +75,30 @@ def citation_authors(citations: DataFrame, id: str, citation: str, year: str, pe
     return hit.groupBy(id, person).agg(F.max("confidence").alias("confidence")).withColumn("basis", F.when(F.col("confidence") == 0.99, "citation_full_name").otherwise("citation_unique_surname_initial"))
 
 
+def surnames_in_reach(a: Column, b: Column) -> Column:
+    """False for name keys whose surnames' ratio cannot be 0.88: too many letters of one surname are not in the other."""
+    sa, sb = F.element_at(F.split(a, " "), -1), F.element_at(F.split(b, " "), -1)
+    least = 0.44 * (F.char_length(sa) + F.char_length(sb)) - 1e-9
+    held = lambda x, y: F.char_length(x) - F.char_length(F.call_function("translate", x, y, F.lit("")))
+    return (held(sa, sb) >= least) & (held(sb, sa) >= least)
+
+
+def similar_names(names: DataFrame, name: str, people: DataFrame, person: str, roster_name: str) -> DataFrame:
+    """(name, person, roster name, score): all pairs of names with equal surnames or a name similarity over 0.
+
+    No similarity is over 0 unless the first initials are equal and the surnames' ratio is 0.88 or more, so names are met
+    by their initial; pairs of equal surnames come out with their 0 where the initials differ.
+    """
+    n = names.select(name, name_key(F.col(name)).alias("a"))
+    p = people.select(person, roster_name, name_key(F.col(roster_name)).alias("b"))
+    last = lambda k: F.element_at(F.split(k, " "), -1)
+    n = n.withColumn("sa", last(F.col("a"))).withColumn("i", F.substring("a", 1, 1))
+    p = p.withColumn("sb", last(F.col("b"))).withColumn("j", F.substring("b", 1, 1))
+    other = n.join(p, (F.col("i") == F.col("j")) & (F.col("sa") != F.col("sb"))).where(surnames_in_reach(F.col("a"), F.col("b")))
+    out = lambda d: d.select(name, person, roster_name, name_similarity(F.col(name), F.col(roster_name)).alias("score"))
+    return out(n.join(p, F.col("sa") == F.col("sb"))).unionByName(out(other).where("score > 0"))
+
+
 def decide(authorships: DataFrame, people: DataFrame) -> DataFrame:
     """(authorship_id, status, person_id, rule, confidence): who an authorship is, by identifiers, name and institutions.
 
@@ -84,11 +108,7 @@ def decide(authorships: DataFrame, people: DataFrame) -> DataFrame:
     """
     alias = people.select("person_id", F.explode("aliases").alias("alias")).withColumn("i", F.substring(name_key(F.col("alias")), 1, 1))
     a = authorships.withColumn("i", F.substring(name_key(F.col("name")), 1, 1))
-    # a surname ratio of 0.88 is out of reach if too many letters of one surname are not in the other
-    sa, sb = F.element_at(F.split(name_key(F.col("name")), " "), -1), F.element_at(F.split(name_key(F.col("alias")), " "), -1)
-    least = 0.44 * (F.char_length(sa) + F.char_length(sb)) - 1e-9
-    held = lambda x, y: F.char_length(x) - F.char_length(F.call_function("translate", x, y, F.lit("")))
-    reach = (held(sa, sb) >= least) & (held(sb, sa) >= least)
+    reach = surnames_in_reach(name_key(F.col("name")), name_key(F.col("alias")))
     named = a.select("authorship_id", "name", "i").join(alias, "i").where(reach).select("authorship_id", "person_id", name_similarity(F.col("name"), F.col("alias")).alias("s")).groupBy("authorship_id", "person_id").agg(F.max("s").alias("s")).where("s > 0")
     by_id = authorships.where("orcid is not null").select("authorship_id", "orcid").join(people.where("orcid is not null").select("person_id", "orcid"), "orcid").select("authorship_id", "person_id", F.lit(0.0).alias("s"))
     pairs = named.unionByName(by_id).groupBy("authorship_id", "person_id").agg(F.max("s").alias("s"))

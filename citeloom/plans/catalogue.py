@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.functions import numeric, similarity, text
+from citeloom.functions import numeric, text
 from citeloom.operators import extract, graph, impact, keep, people, resolve, review, search, topics
 from citeloom.sources import files
 
@@ -494,9 +494,9 @@ def jaccard_match(t):
 
 @query()
 def name_rules(t):
-    a = t("article_faculty_attributions").where("faculty_name is not null").select("faculty_name").distinct().withColumn("k", F.element_at(F.split(text.name_key(F.col("faculty_name")), " "), -1))
-    r = t("faculty_registry").select("faculty_id", F.col("faculty_name").alias("roster_name")).withColumn("k", F.element_at(F.split(text.name_key(F.col("roster_name")), " "), -1))
-    return a.join(r, "k").select("faculty_name", "faculty_id", similarity.name_similarity(F.col("faculty_name"), F.col("roster_name")).alias("score"))
+    a = t("article_faculty_attributions").where("faculty_name is not null").select("faculty_name").distinct()
+    r = t("faculty_registry").select("faculty_id", F.col("faculty_name").alias("roster_name"))
+    return people.similar_names(a, "faculty_name", r, "faculty_id", "roster_name").select("faculty_name", "faculty_id", "score")
 
 
 @query()

@@ -127,6 +127,14 @@ def test_people(spark):
     assert rows(people.merge_evidence(local, ext.limit(0), ext.limit(0)), "person_id") == [("f1",)]
 
 
+def test_name_rules_meet_unlike_surnames(spark, tmp_path):
+    spark.createDataFrame([("Josephine C. Roubuvold",), ("Ada Byron",), ("J. Smith",), (None,)], "faculty_name string").write.parquet(f"{tmp_path}/article_faculty_attributions.parquet")
+    spark.createDataFrame([("f1", "Josephine C. Roubuvlod"), ("f2", "Ada Byron"), ("f3", "Bo Byron"), ("f4", "Jane Smith"), ("f5", "Kate Roubuvold"), ("f6", "Jane Smits")], "faculty_id string, faculty_name string").write.parquet(f"{tmp_path}/faculty_registry.parquet")
+    got = rows(catalogue.queries()["name_rules"](spark, str(tmp_path)), "faculty_name", "faculty_id", "score")
+    # surnames 8/9 alike, whole names 20/21; f6 has 4/5 alike; pairs of one surname come out with their 0
+    assert got == [("Ada Byron", "f2", 1.0), ("Ada Byron", "f3", 0.0), ("J. Smith", "f4", 0.97), ("Josephine C. Roubuvold", "f1", 0.9357), ("Josephine C. Roubuvold", "f5", 0.0)]
+
+
 def test_extract(spark):
     c = spark.createDataFrame([(1, 'A. B. "A quoted one," J. 2001'), (2, "Lee, A. (2001). An apa title. Journal."), (3, "x"), (4, None)], "id int, c string")
     got = {r.id: (r.title, r.method) for r in extract.with_title(c, "c").collect()}
