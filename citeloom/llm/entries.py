@@ -50,8 +50,11 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p3_copies(spark: SparkSession, sf: str) -> DataFrame:
-    """One record per repeated candidate title with its number of copies."""
-    return refine.copies(_table(spark, sf, "publication_candidates"), "record_id", "title").select("record_id", "n_copies")
+    """One record per title of candidates, and per title and doi of matched rows, with its number of copies."""
+    c = refine.counted(_table(spark, sf, "publication_candidates"), "record_id", "title")
+    r = refine.counted(_matched(spark, sf), "record_id", "canonical_title", refine.doi_key(F.col("doi")))
+    tag = lambda d, t: d.select(F.lit(t).alias("table_name"), "record_id", "n_copies")
+    return tag(c, "publication_candidates").unionByName(tag(r, "publication_resolution"))
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:

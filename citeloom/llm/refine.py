@@ -44,25 +44,43 @@ def several(df: DataFrame, key: str) -> DataFrame:
     return df.join(n, key, "left_semi")
 
 
+def _first(df: DataFrame, id: str, text: str, extra: Column | None, within: str | None) -> DataFrame:
+    """(w, id, x, f, k1): the first refinement, for every row: number of letters and digits, their histogram, the extra key."""
+    base = df.select((F.col(within) if within else F.lit("")).alias("w"), F.col(id).alias("id"), F.col(text).alias("t"), (extra if extra is not None else F.lit(None).cast("string")).alias("x"))
+    base = with_same_form(base.where("t <> '' and id is not null"), "t", "f").withColumn("l", letters(F.col("f"))).where("l <> ''")
+    return _util.cut(base.select("w", "id", "x", "f", F.xxhash64("w", "x", F.char_length("l"), histogram(F.col("l"))).alias("k1")))
+
+
+def _second(first: DataFrame) -> DataFrame:
+    """(w, id, class_key): the second refinement, only inside classes with several members: the sorted words."""
+    return several(first, "k1").select("w", "id", _util.key128("w", "x", word_bag(F.col("f"))).alias("class_key")).distinct()
+
+
 def classes(df: DataFrame, id: str, text: str, extra: Column | None = None, within: str | None = None) -> DataFrame:
     """(within, id, class_key) of the rows whose text, up to formatting, is held by several rows.
 
     extra: a further key column that must be equal too (null equals null). Rows with null, empty or wordless text are
     left out. Repeated rows (same id) count once.
     """
-    base = df.select((F.col(within) if within else F.lit("")).alias("w"), F.col(id).alias("id"), F.col(text).alias("t"), (extra if extra is not None else F.lit(None).cast("string")).alias("x"))
-    base = with_same_form(base.where("t <> '' and id is not null"), "t", "f").withColumn("l", letters(F.col("f"))).where("l <> ''")
-    # first refinement, for every row: number of letters and digits, their histogram, and the extra key
-    first = _util.cut(base.select("w", "id", "x", "f", F.xxhash64("w", "x", F.char_length("l"), histogram(F.col("l"))).alias("k1")))
-    # second, only inside classes with several members: the sorted words
-    second = several(first, "k1").select("w", "id", _util.key128("w", "x", word_bag(F.col("f"))).alias("class_key")).distinct()
+    second = _second(_first(df, id, text, extra, within))
     return several(_util.cut(second), "class_key").withColumnRenamed("w", within or "w")
 
 
 def copies(df: DataFrame, id: str, text: str, extra: Column | None = None, within: str | None = None) -> DataFrame:
     """One row per class with copies: (within, record_id = smallest id, n_copies, copies are counted, not listed)."""
-    c = classes(df, id, text, extra, within)
-    return c.groupBy(within or "w", "class_key").agg(F.min("id").alias("record_id"), F.count("*").alias("n_copies")).drop("class_key")
+    return counted(df, id, text, extra, within).where("n_copies > 1")
+
+
+def counted(df: DataFrame, id: str, text: str, extra: Column | None = None, within: str | None = None) -> DataFrame:
+    """One row per class, also of a single member: (within, record_id = smallest id, n_copies).
+
+    Rows alone in their class of the first refinement are settled there.
+    """
+    first = _first(df, id, text, extra, within)
+    alone = first.groupBy("k1").agg(F.first("w").alias("w"), F.min("id").alias("record_id"), F.count("*").alias("n_copies")).where("n_copies = 1")
+    more = _second(first).groupBy("w", "class_key").agg(F.min("id").alias("record_id"), F.count("*").alias("n_copies"))
+    out = alone.select("w", "record_id", "n_copies").unionByName(more.select("w", "record_id", "n_copies"))
+    return out.withColumnRenamed("w", within or "w")
 
 
 def copy_pairs(df: DataFrame, id: str, text: str, extra: Column | None = None, within: str | None = None) -> DataFrame:

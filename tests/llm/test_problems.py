@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from citeloom.llm import leakage, linkage, names, neighbours, packing, reading, refine, survivor, textforms
+from citeloom.llm import entries, leakage, linkage, names, neighbours, packing, reading, refine, survivor, textforms
 
 
 def rows(df, *cols):
@@ -50,6 +50,15 @@ def test_copies_against_brute_force(spark):
     assert rows(refine.copy_pairs(df.unionByName(df), "id", "t"), "record_id", "copy_record_id") == rows(refine.copy_pairs(df, "id", "t"), "record_id", "copy_record_id")
 
 
+def test_copies_of_both_tables_with_single_titles(spark, tmp_path):
+    c = [("c1", "Urban heat in towns"), ("c2", "URBAN HEAT, in towns"), ("c3", "Held once"), ("c3", "Held once"), ("c4", "Dlhe once"), ("c5", ""), ("c6", None), ("c7", "!!!")]
+    spark.createDataFrame(c, "record_id string, title string").write.parquet(f"{tmp_path}/publication_candidates.parquet")
+    r = [("r1", "Urban heat", "10.1000/a", "matched"), ("r2", "Urban HEAT", "doi:10.1000/A", "matched"), ("r3", "Urban heat", None, "matched"), ("r4", "Urban heat", "10.1000/b", "matched"), ("r5", "Urban heat", None, "unmatched"), ("r6", None, "10.1000/a", "matched")]
+    spark.createDataFrame(r, "record_id string, canonical_title string, doi string, match_status string").write.parquet(f"{tmp_path}/publication_resolution.parquet")
+    got = rows(entries.p3_copies(spark, str(tmp_path)), "table_name", "record_id", "n_copies")
+    assert got == [("publication_candidates", i, n) for i, n in (("c1", 2), ("c3", 1), ("c4", 1))] + [("publication_resolution", i, n) for i, n in (("r1", 2), ("r3", 1), ("r4", 1))]
+
+
 # ---- 4 ----
 def test_survivors(spark):
     long = "The authors studied the heat of towns. They found that trees helped a lot."
