@@ -84,7 +84,7 @@ def pack(counts: DataFrame, containers: DataFrame, name: str = "container_name",
     Container ids are the smallest (document, piece) inside, so they are unique without any coordination.
     """
     sizes = containers.where(f"{name} is not null and {capacity} >= 1").groupBy(name).agg(F.min(capacity).cast("int").alias("cap")).select(F.col(name).alias("c"), "cap")
-    base = counts.groupBy("doc_id").agg(F.max("n_tokens").alias("n")).crossJoin(F.broadcast(sizes.limit(1024)))
+    base = counts.groupBy("doc_id").agg(F.max("n_tokens").alias("n")).crossJoin(_util.bounded(sizes, 64))
     last = F.greatest(F.ceil(F.col("n") / F.col("cap")).cast("int"), F.lit(1)) - 1
     pieces = base.select("c", "cap", "doc_id", "n", F.explode(F.sequence(F.lit(0), last)).alias("piece"))
     pieces = pieces.withColumn("size", F.least("cap", F.col("n") - F.col("piece") * F.col("cap")).cast("int"))

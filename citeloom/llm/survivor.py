@@ -94,28 +94,25 @@ def claims(rows: DataFrame, id: str, abstract: str, title: str, score: str, sour
     return rows.select(F.col(id).alias("id"), F.coalesce(F.col(source), F.lit("?")).alias("source"), F.explode(fields).alias("x")).select("id", "source", "x.*").where("size is not null")
 
 
-def discover(claimed: DataFrame, tolerance: float = 1e-3, rounds: int = 12) -> tuple[DataFrame, dict[str, float]]:
+def discover(claimed: DataFrame, tolerance: float = 1e-3, rounds: int = 12) -> tuple[DataFrame, DataFrame]:
     """Truth discovery over (group_id, field, size, source, n, record_id) claims; gives each value's support and the sources' reliability.
 
     A source's reliability is the mean support, as a share of its group's whole vote, of its claims; a value's support is
-    the reliability-weighted vote of the claims it covers. Sources are few by nature and only their weights travel.
+    the reliability-weighted vote of the claims it covers. Reliabilities are a table (source, weight), of any length.
     """
-    spark = claimed.sparkSession
-    names = sorted(r[0] for r in claimed.select("source").distinct().limit(4096).collect())
-    trust = dict.fromkeys(names, 1.0)
     part = Window.partitionBy("group_id", "field")
     upto = part.orderBy("size").rangeBetween(Window.unboundedPreceding, 0)
-    supported = None
+    trust, supported = _util.cut(claimed.select("source").distinct().withColumn("weight", F.lit(1.0))), None
     for _ in range(rounds):
-        weights = spark.createDataFrame([(k, v) for k, v in trust.items()] or [("", 0.0)], "source string, weight double")
-        voted = claimed.join(F.broadcast(weights), "source").withColumn("vote", F.col("n") * F.col("weight"))
+        voted = claimed.join(trust, "source").withColumn("vote", F.col("n") * F.col("weight"))
         supported = voted.withColumn("support", F.sum("vote").over(upto)).withColumn("share", F.col("support") / F.sum("vote").over(part))
-        new = {r[0]: max(r[1], 1e-6) for r in supported.groupBy("source").agg(F.sum(F.col("share") * F.col("n")) / F.sum("n")).collect()}
-        top = max(new.values(), default=1.0)
-        new = {k: v / top for k, v in new.items()}
-        done = max((abs(new[k] - trust[k]) for k in new), default=0.0) < tolerance
-        trust = {**trust, **new}
-        if done:
+        mean = F.greatest(F.sum(F.col("share") * F.col("n")) / F.sum("n"), F.lit(1e-6))
+        new = _util.cut(supported.groupBy("source").agg(mean.alias("mean"), F.max("weight").alias("was")))
+        top = new.agg(F.max("mean")).first()[0] or 1.0
+        new = new.withColumn("weight", F.col("mean") / top)
+        moved = new.agg(F.max(F.abs(F.col("weight") - F.col("was")))).first()[0] or 0.0
+        trust = new.select("source", "weight")
+        if moved < tolerance:
             break
     return supported, trust
 

@@ -81,6 +81,12 @@ def test_works_follow_chains(spark):
     assert {r[1] for r in rows(survivor.works(df, "id", "t", "d"))} == {"000"}
 
 
+def test_survivors_of_many_sources(spark):
+    r = spark.range(8400).select(F.format_string("%05d", F.col("id")).alias("id"), F.format_string("Title %d", (F.col("id") / 2).cast("int")).alias("title"), F.lit(None).cast("string").alias("doi"), F.lit(None).cast("string").alias("abs"), ((F.col("id") % 2) / 2).alias("score"), F.format_string("s%d", (F.col("id") / 2).cast("int")).alias("src"))
+    got = rows(survivor.survivors(r, "id", "title", "doi", "abs", "score", "src").where("field = 'match_score'"), "group_record_id", "record_id")
+    assert got == [(f"{i:05d}", f"{i + 1:05d}") for i in range(0, 8400, 2)]
+
+
 # ---- 5 ----
 @pytest.mark.parametrize("hot", [0, 150])
 def test_neighbours_against_brute_force(spark, hot):
@@ -132,6 +138,12 @@ def test_token_counts(spark):
     assert got[1] == 2 and got[2] == got[3] == 0 and got[4] >= 20000
 
 
+def test_packing_into_many_sizes(spark):
+    boxes = spark.range(1100).select(F.format_string("c%d", F.col("id")).alias("container_name"), (F.col("id") + 10).cast("int").alias("capacity_tokens"))
+    counts = spark.createDataFrame([(1, 5)], "doc_id long, n_tokens int")
+    assert packing.pack(counts, boxes).select("container_name").distinct().count() == 1100
+
+
 # ---- 8 ----
 def test_leaks(spark):
     rng = random.Random(8)
