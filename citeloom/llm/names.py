@@ -114,7 +114,8 @@ def given_likeness(w: str, g: str, known: frozenset[str]) -> float:
 
 def assign(rows: list[str], cols: list[str], like) -> tuple[float, list[int]]:
     """The assignment of rows to distinct columns with the highest summed likeness (-1: none); names have few words."""
-    rows, cols = rows[:8], cols[:10]
+    if len(rows) > 8 or len(cols) > 10:
+        return _assign_long(rows, cols, like)
 
     @functools.cache
     def best(i: int, free: int) -> tuple[float, tuple[int, ...]]:
@@ -133,6 +134,26 @@ def assign(rows: list[str], cols: list[str], like) -> tuple[float, list[int]]:
     return s, list(t)
 
 
+def _assign_long(rows: list[str], cols: list[str], like) -> tuple[float, list[int]]:
+    """assign() for long names: over the words that are like any other, one by one, with sets of the shorter side's words."""
+    v = {(i, j): x for i, r in enumerate(rows) for j, c in enumerate(cols) if (x := like(r, c)) > 0}
+    a, b = sorted({i for i, _ in v}), sorted({j for _, j in v})
+    turned = len(a) < len(b)
+    each, other = (b, a) if turned else (a, b)
+    best: dict[int, tuple[float, tuple]] = {0: (0.0, ())}
+    for x in each:
+        new = dict(best)
+        for used, (s, pairs) in best.items():
+            for k, y in enumerate(other):
+                at = (y, x) if turned else (x, y)
+                if not used >> k & 1 and at in v and s + v[at] > new.get(used | 1 << k, (-1.0,))[0] + 1e-9:
+                    new[used | 1 << k] = (s + v[at], (*pairs, at))
+        best = new
+    s, pairs = max(best.values(), key=lambda x: x[0])
+    to = dict(pairs)
+    return s, [to.get(i, -1) for i in range(len(rows))]
+
+
 def align(words: list[str], given: list[str], family: list[str], known: frozenset[str]) -> float:
     """The likeness of a written name to one form of a person; 0 if they differ.
 

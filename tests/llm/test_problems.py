@@ -206,6 +206,12 @@ def test_names(spark):
     assert names.found(cand.limit(0), res.limit(0), att.limit(0), roster.limit(0)).count() == 0
 
 
+def test_assignment_takes_all_words():
+    a = list("abcdefghijklm")
+    assert names.assign(a, a[::-1], lambda x, y: float(x == y)) == (13.0, list(range(12, -1, -1)))
+    assert names.assign(["k"], a, lambda x, y: float(x == y)) == (1.0, [10]) and names.assign(a, ["z"], lambda x, y: float(x == y)) == (0.0, [-1] * 13)
+
+
 def test_assignment_is_optimal():
     rng = random.Random(4)
     for _ in range(30):
