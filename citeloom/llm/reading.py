@@ -1,198 +1,333 @@
 """Problem 9: reading level of each document.
 
-Method: a Rasch-style count model. The expected count of a word in a document is its length times
-exp(ease + slope * (level - 3)), normalised over the vocabulary: level is the document's latent demand, ease and slope
-are the word's latent difficulty. Both sides are estimated in turn by distributed passes; human ratings anchor the
-scale, and five components on it, fitted with a noise model for the raters, give the level from 1 to 5.
+Method: a Rasch-style model. Words are items: the log rate of a word at level v is ease + slope * v + curve * v ** 2, its
+latent difficulty. Sentence lengths are a second set of items. A document has a latent level from 1 to 5, and beside it
+one for its words and one for its sentences, which may lie off the first in opposite ways. Items, levels and the
+raters' confusion are estimated in turn by distributed passes with soft posteriors; human ratings anchor the scale.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 import sys
-import zlib
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.llm import _util
 
 WORD = re.compile(r"[^\W\d_]+")
-GRID = np.linspace(-2, 8, 161)
-BINS = np.linspace(-2, 8, 21)
-BUCKETS = 1 << 14
-#: A text counts in a word's statistics as so many words at most; all its words count, with less weight each.
-FAIR_WORDS = 400
-
-
-def counted(docs: DataFrame, doc_id: str, text: str, rating: str) -> DataFrame:
-    """(doc, rating, n_words, at, n): word counts by hashed bucket, so the model has at most BUCKETS words."""
+SENTENCE = re.compile(r"[.!?…]+(?=[\s\"”’')\]]|$)|\n\s*\n")
+#: Levels, and sentence lengths in eighths of a doubling (up to 4,096 words).
+K, LENGTHS = 5, 97
+AXIS = np.arange(K) - (K - 1) / 2
+DESIGN = np.stack([np.ones(K), AXIS, AXIS**2 - 2], 1)
+RIDGE = np.array([1e-3, 1.0, 2.0])
+#: Running words of one text depend on each other: a word counts as this share of an independent one.
+WORD_WEIGHT = 0.3
+#: Words whose parameters are sent to the executors at a time (28 bytes each).
+BLOCK_WORDS = 500_000
+_KERNEL = np.array([1, 2, 3, 2, 1]) / 9
+#: Where the raters' confusion starts from, and the weight of this start in documents.
+CONFUSED, CONFUSED_WEIGHT = np.where(np.eye(K) > 0, 0.9, np.where(np.abs(np.subtract.outer(np.arange(K), np.arange(K))) == 1, 0.05, 0.001)), 10.0
+
+COUNTED = "doc long, n_words int, at array<long>, n array<int>, lens array<int>"
+
+
+def counted(rows: DataFrame) -> DataFrame:
+    """(doc, n_words, at, n, lens) of (doc, text) rows: counts by 64-bit key of the word, and by length of sentence."""
 
     def scan(batches):
-        bucket: dict[str, int] = {}
+        key: dict[str, int] = {}
         for pdf in batches:
-            at, n, size = [], [], []
+            at, n, lens, size = [], [], [], []
             for t in pdf["text"]:
-                words = WORD.findall(t.lower())
-                ids = []
-                for w in words:
-                    k = bucket.get(w)
-                    if k is None:
-                        k = zlib.crc32(w.encode()) % BUCKETS
-                        if len(bucket) < 200_000:
-                            bucket[w] = k
-                    ids.append(k)
-                c = np.bincount(np.array(ids, np.int64), minlength=1) if ids else np.zeros(1, np.int64)
-                nz = np.flatnonzero(c)
-                at.append(nz.astype(np.int32))
-                n.append(c[nz].astype(np.int32))
+                t = t.lower()
+                ids, by = [], [0] * LENGTHS
+                for s in SENTENCE.split(t):
+                    ws = WORD.findall(s)
+                    if len(ws) > 2:
+                        by[min(LENGTHS - 1, int(8 * np.log2(len(ws))))] += 1
+                    for w in ws:
+                        k = key.get(w)
+                        if k is None:
+                            k = xxhash.xxh64_intdigest(w) - (1 << 63)
+                            if len(key) < 200_000:
+                                key[w] = k
+                        ids.append(k)
+                k, c = np.unique(np.array(ids, np.int64), return_counts=True)
+                at.append(k)
+                n.append(c.astype(np.int32))
+                lens.append(by)
                 size.append(len(t.split()))
-            yield pd.DataFrame({"doc": pdf["doc"], "rating": pdf["rating"], "n_words": np.array(size, np.int32), "at": at, "n": n})
+            yield pd.DataFrame({"doc": pdf["doc"], "n_words": np.array(size, np.int32), "at": at, "n": n, "lens": lens})
+
+    return rows.mapInPandas(scan, COUNTED)
 
-    rows = docs.where(f"{text} is not null and {doc_id} is not null").select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"), F.col(rating).cast("double").alias("rating"))
-    return _util.cut(rows.mapInPandas(scan, "doc long, rating double, n_words int, at array<int>, n array<int>"))
 
+def word_step(c: np.ndarray, total: np.ndarray, seen: float, steps: int = 12) -> np.ndarray:
+    """Log rates (words, K), not yet normalised, by Newton steps on each word's ease, slope and curve.
 
-def _levels(pdf: pd.DataFrame, ease: np.ndarray, slope: np.ndarray, logz: np.ndarray):
-    """Maximum likelihood level of each document on GRID, and the flat (document, bucket, count) triples."""
+    c: counts (words, K); total: all counts by level; seen: their sum. Words are independent given the totals.
+    """
+    beta = np.zeros((len(c), 3))
+    beta[:, 0] = np.log((c.sum(1) + 0.05) / max(seen, 1.0))
+    for _ in range(steps):
+        rate = total * np.exp(np.clip(beta @ DESIGN.T, -25, 2))
+        grad = (c - rate) @ DESIGN - np.array([0.0, *RIDGE[1:]]) * beta
+        hess = np.einsum("kp,vk,kq->vpq", DESIGN, rate, DESIGN) + np.diag(RIDGE)
+        beta += np.clip(np.linalg.solve(hess, grad[:, :, None])[:, :, 0], -1, 1)
+    return beta @ DESIGN.T
+
+
+class Model:
+    """The small part of the model: lengths by level, the joint (level, words, sentences) prior and the raters."""
+
+    def __init__(self):
+        joint = np.full((K, K, K), 1e-4)
+        for k in range(K):
+            for off, w in ((0, 0.7), (1, 0.15), (-1, 0.15)):
+                if 0 <= k + off < K and 0 <= k - off < K:
+                    joint[k, k + off, k - off] += w
+        self.joint, self.raters = joint / joint.sum(), CONFUSED / CONFUSED.sum(1, keepdims=True)
+        self.lengths = None
+
+    def posterior(self, words: np.ndarray | None, lens: np.ndarray, rated: np.ndarray) -> np.ndarray:
+        """P(level, words' level, sentences' level) of each document from the words' log likelihood, lengths and ratings."""
+        s = np.log(self.joint)[None] + (rated @ np.log(self.raters).T)[:, :, None, None]
+        if words is not None:
+            s = s + WORD_WEIGHT * words[:, None, :, None] + (lens @ np.log(self.lengths).T)[:, None, None, :]
+        p = np.exp(s - s.max((1, 2, 3), keepdims=True))
+        return p / p.sum((1, 2, 3), keepdims=True)
+
+    def update(self, stats: np.ndarray, first: bool) -> None:
+        joint, lens, raters = np.split(stats, [K**3, K**3 + K * LENGTHS])
+        lens = np.apply_along_axis(lambda x: np.convolve(x, _KERNEL, "same"), 1, lens.reshape(K, LENGTHS))
+        base = (lens.sum(0) + 1e-3) / (lens.sum() + 1e-3 * LENGTHS)
+        lens = lens + 5 * base
+        self.lengths = lens / lens.sum(1, keepdims=True)
+        if not first:
+            joint = joint.reshape(K, K, K) + 1e-3
+            self.joint = joint / joint.sum()
+            raters = raters.reshape(K, K) + CONFUSED_WEIGHT * CONFUSED / CONFUSED.sum(1, keepdims=True)
+            self.raters = raters / raters.sum(1, keepdims=True)
+
+
+N_STATS = K**3 + K * LENGTHS + K * K
+
+
+def _flat(pdf: pd.DataFrame):
+    """(document, key, count) triples of a batch."""
     size = pdf["at"].map(len).to_numpy()
-    at = np.concatenate(pdf["at"].to_list()) if size.sum() else np.zeros(0, np.int64)
-    n = np.concatenate(pdf["n"].to_list()) if size.sum() else np.zeros(0)
     doc = np.repeat(np.arange(len(pdf)), size)
-    suff = np.bincount(doc, weights=n * slope[at], minlength=len(pdf))
-    total = np.bincount(doc, weights=n, minlength=len(pdf))
-    best = np.argmax(suff[:, None] * (GRID - 3)[None] - total[:, None] * logz[None], 1)
-    return best, doc, at, n
-
-
-def word_step(counts: np.ndarray, steps: int = 12) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ease and slope of every bucket from counts by level bin, by Newton steps with a unit ridge on the slope."""
-    total, g = counts.sum(1), BINS - 3
-    ease, slope = np.log((counts.sum(0) + 0.05) / max(total.sum(), 1.0)), np.zeros(counts.shape[1])
-    seen = counts.sum(0) > 0
-    c = counts[:, seen]
-    a, s = ease[seen], slope[seen]
-    for _ in range(steps):
-        lam = total[:, None] * np.exp(np.clip(a + s * g[:, None], -20, 2))
-        r = c - lam
-        g0, g1 = r.sum(0), (r * g[:, None]).sum(0) - s
-        h00, h01, h11 = lam.sum(0) + 1e-3, (lam * g[:, None]).sum(0), (lam * (g**2)[:, None]).sum(0) + 1.0
-        det = h00 * h11 - h01**2
-        a, s = a + np.clip((h11 * g0 - h01 * g1) / det, -1, 1), s + np.clip((h00 * g1 - h01 * g0) / det, -1, 1)
-    ease[seen], slope[seen] = a, s
-    logz = np.log(np.exp(np.clip(a + s * (GRID - 3)[:, None], -30, 5)).sum(1)) if seen.any() else np.zeros(len(GRID))
-    return ease, slope, logz
+    return (doc, np.concatenate(pdf["at"].to_list()), np.concatenate(pdf["n"].to_list()).astype(float)) if size.sum() else (doc, np.zeros(0, np.int64), np.zeros(0))
+
+
+def _word_odds(pdf: pd.DataFrame, keys: np.ndarray, rates: np.ndarray) -> np.ndarray:
+    """(documents, K): the summed log rates of a batch's words; words without a rate say nothing."""
+    doc, at, n = _flat(pdf)
+    spot = np.minimum(np.searchsorted(keys, at), len(keys) - 1)
+    hit = keys[spot] == at
+    doc, spot, n = doc[hit], spot[hit], n[hit]
+    return np.stack([np.bincount(doc, weights=n * rates[spot, k], minlength=len(pdf)) for k in range(K)], 1)
+
+
+def _stats(p: np.ndarray, lens: np.ndarray, rated: np.ndarray) -> np.ndarray:
+    return np.concatenate([p.sum(0).ravel(), (p.sum((1, 2)).T @ lens).ravel(), (p.sum((2, 3)).T @ rated).ravel()])
+
+
+class _Words:
+    """Sums of soft counts by word of one task, kept as sorted keys with K counts."""
+
+    def __init__(self):
+        self.keys, self.sums = np.zeros(0, np.int64), np.zeros((0, K))
+
+    def add(self, pdf: pd.DataFrame, weight: np.ndarray) -> None:
+        doc, at, n = _flat(pdf)
+        keys, back = np.unique(at, return_inverse=True)
+        sums = np.stack([np.bincount(back, weights=n * weight[doc, k], minlength=len(keys)) for k in range(K)], 1)
+        both = np.union1d(self.keys, keys)
+        out = np.zeros((len(both), K))
+        out[np.searchsorted(both, self.keys)] += self.sums
+        out[np.searchsorted(both, keys)] += sums
+        self.keys, self.sums = both, out
+
+    def frame(self) -> pd.DataFrame:
+        return pd.DataFrame({"key": self.keys, **{f"c{k}": self.sums[:, k] for k in range(K)}})
+
+
+SUMS = "key long, " + ", ".join(f"c{k} double" for k in range(K)) + ", stat int"
+LEVELS = [f"c{k}" for k in range(K)]
+
+
+def _rows(words: _Words, stats: np.ndarray) -> pd.DataFrame:
+    """A task's sums: words with stat -1, and the small part with its place in c0."""
+    small = pd.DataFrame({"key": np.arange(len(stats)), "c0": stats, **{f"c{k}": 0.0 for k in range(1, K)}, "stat": 1})
+    return pd.concat([words.frame().assign(stat=-1), small], ignore_index=True).astype({"key": "int64", "stat": "int32"})
 
 
-def alternate(table: DataFrame, rounds: int = 10, tolerance: float = 2e-3):
-    """The alternating optimisation: every round is one pass that sends counts by (level bin, bucket), at most 21 x BUCKETS sums."""
-    spark, model = table.sparkSession, None
+def _summed(df: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """(counts by word as a written table, the small part)."""
+    got = _util.cut(df.groupBy("stat", "key").agg(*[F.sum(c).alias(c) for c in LEVELS]))
+    stats = np.zeros(N_STATS)
+    for r in got.where("stat = 1").select("key", "c0").collect():  # N_STATS rows
+        stats[r.key] = r.c0
+    return got.where("stat < 0").drop("stat"), stats
 
-    def one_pass(model):
-        share = None if model is None else spark.sparkContext.broadcast(model)
+
+def _rates(counts: DataFrame, blocks: int, block: int, total: np.ndarray, norm: np.ndarray | None):
+    """Keys and normalised log rates of one block of words, at most about BLOCK_WORDS."""
+    part = counts if blocks == 1 else counts.where(F.pmod("key", F.lit(blocks)) == block)
+    pdf = part.toPandas().sort_values("key")
+    rates = word_step(pdf[LEVELS].to_numpy(float), total, float(total.sum()))
+    norm = np.log(np.exp(rates).sum(0)) if norm is None else norm
+    return pdf["key"].to_numpy(np.int64), (rates - norm).astype(np.float32)
+
+
+def _norm(counts: DataFrame, total: np.ndarray) -> np.ndarray:
+    """log of the summed rates by level, over all words, where they are too many for one block."""
+
+    def scan(batches):
+        for pdf in batches:
+            s = np.exp(word_step(pdf[LEVELS].to_numpy(float), total, float(total.sum()))).sum(0)
+            yield pd.DataFrame([s], columns=LEVELS)
+
+    row = counts.mapInPandas(scan, ", ".join(f"{c} double" for c in LEVELS)).agg(*[F.sum(c) for c in LEVELS]).first()
+    return np.log(np.array(row, float))
+
+
+class Fit:
+    """The alternating optimisation over a written table (doc, rated, n_words, at, n, lens)."""
+
+    def __init__(self, table: DataFrame, block_words: int = BLOCK_WORDS):
+        self.table, self.block_words, self.model, self.counts, self.blocks = table, block_words, Model(), None, 1
+
+    def _begin(self) -> bool:
+        model = _util.share(self.table.sparkSession, self.model)
 
         def scan(batches):
-            counts, moved = np.zeros(len(BINS) * BUCKETS), False
+            m, words, stats = pickle.loads(model.value), _Words(), np.zeros(N_STATS)
             for pdf in batches:
-                if share is None:
-                    pdf = pdf[pdf["rating"].notna()]
-                if not len(pdf):
-                    continue
-                best, doc, at, n = _levels(pdf, *(share.value if share is not None else (np.zeros(BUCKETS), np.zeros(BUCKETS), np.zeros(len(GRID)))))
-                level = np.where(pdf["rating"].notna(), pdf["rating"], GRID[best])
-                bin_ = np.clip(np.round((level + 2) / 0.5).astype(int), 0, len(BINS) - 1)
-                total = np.bincount(doc, weights=n, minlength=len(pdf))
-                fair = np.minimum(1.0, FAIR_WORDS / np.maximum(total, 1.0))  # no single text outweighs many others
-                counts += np.bincount(bin_[doc] * BUCKETS + at, weights=n * fair[doc], minlength=len(counts))
-                moved = True
-            nz = np.flatnonzero(counts) if moved else np.zeros(0, int)
-            yield pd.DataFrame({"k": nz.astype(np.int32), "n": counts[nz]})
-
-        got = table.select("rating", "at", "n").mapInPandas(scan, "k int, n double").groupBy("k").agg(F.sum("n").alias("n")).toPandas()
-        counts = np.zeros(len(BINS) * BUCKETS)
-        counts[got["k"].to_numpy()] = got["n"].to_numpy()
-        return counts.reshape(len(BINS), BUCKETS)
-
-    before = None
-    for _ in range(rounds):
-        counts = one_pass(model)
-        if not counts.any():
-            return None
-        model = word_step(counts)
-        profile = counts.sum(1) / counts.sum()
-        if before is not None and np.abs(profile - before).sum() < tolerance:
-            break
-        before = profile
-    return model
-
-
-def components(free: np.ndarray, rated: np.ndarray, rounds: int = 60) -> np.ndarray:
-    """The level 1..5 of each GRID point: five normal components over all documents, raters being off by one at times.
-
-    free: documents without a rating by grid point; rated: documents by (grid point, rounded rating 1..5).
-    """
-    weight = np.concatenate([free[:, None], rated], 1)
-    noise = np.ones((5, 6))
-    for k in range(5):
-        for r in range(5):
-            noise[k, r + 1] = 0.8 if k == r else 0.1 if abs(k - r) == 1 else 0.005
-    mids = []
-    for r in range(5):
-        c = np.cumsum(rated[:, r])
-        mids.append(GRID[np.searchsorted(c, c[-1] / 2)] if c[-1] > 0 else np.nan)
-    mids = pd.Series(mids).interpolate(limit_direction="both").to_numpy()
-    mu, sd, w = np.maximum.accumulate(mids + np.arange(5) * 1e-3), np.full(5, 0.4), np.full(5, 0.2)
-
-    def density():
-        return np.log(w) - np.log(sd) - 0.5 * ((GRID[:, None] - mu) / sd) ** 2
-
-    for _ in range(rounds):
-        like = density()[:, None, :] + np.log(noise.T)[None]
-        p = np.exp(like - like.max(2, keepdims=True))
-        p = p / p.sum(2, keepdims=True) * weight[:, :, None]
-        mass = p.sum((0, 1)) + 1e-9
-        w = (mass / mass.sum()) + 1e-6
-        mu = (p * GRID[:, None, None]).sum((0, 1)) / mass
-        sd = np.sqrt((p * (GRID[:, None, None] - mu) ** 2).sum((0, 1)) / mass + 0.005)
-    out = 1 + density().argmax(1)
-    return np.maximum.accumulate(out) if np.all(np.diff(mu) >= 0) else out
-
-
-def reading_levels(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str = "text", level: str = "level") -> DataFrame:
+                if len(pdf):
+                    lens, rated = np.stack(pdf["lens"]).astype(float), np.stack(pdf["rated"]).astype(float)
+                    p = m.posterior(None, lens, rated)
+                    words.add(pdf, p.sum((1, 3)))
+                    stats += _stats(p, lens, rated)
+            yield _rows(words, stats)
+
+        self.counts, stats = _summed(self.table.where("rated is not null").mapInPandas(scan, SUMS))
+        if not stats.any():
+            return False
+        self.model.update(stats, True)
+        return True
+
+    def _shared(self):
+        """One broadcast (model, keys, rates) for each block of words."""
+        total = np.array(self.counts.agg(F.count("*"), *[F.sum(c) for c in LEVELS]).first()[1:], dtype=object)
+        total = np.array([x or 0.0 for x in total], float)
+        self.blocks = max(1, -(-self.counts.count() // self.block_words))
+        norm = None if self.blocks == 1 else _norm(self.counts, total)
+        for b in range(self.blocks):
+            yield _util.share(self.table.sparkSession, (self.model, *_rates(self.counts, self.blocks, b, total, norm)))
+
+    def _odds(self, shares: list) -> DataFrame:
+        """(doc, ll): the words' log likelihood of every document where it takes several blocks; each block reads the table once."""
+        out = None
+        for share in shares:
+
+            def scan(batches, share=share):
+                _, keys, rates = pickle.loads(share.value)
+                for pdf in batches:
+                    yield pd.DataFrame({"doc": pdf["doc"], **dict(zip(LEVELS, _word_odds(pdf, keys, rates).T))})
+
+            got = self.table.select("doc", "at", "n").mapInPandas(scan, "doc long, " + ", ".join(f"{c} double" for c in LEVELS))
+            out = got if out is None else out.unionByName(got)
+        return out.groupBy("doc").agg(F.array(*[F.sum(c) for c in LEVELS]).alias("ll"))
+
+    def _pass(self, work, schema: str) -> DataFrame:
+        """work(model, batch, posterior) over all documents; it gets every batch and then None, and gives frames or None."""
+        shares = list(self._shared())
+        several, spark = len(shares) > 1, self.table.sparkSession
+        table = self.table.join(self._odds(shares), "doc") if several else self.table
+        share = _util.share(spark, (self.model, None, None)) if several else shares[0]
+
+        def scan(batches):
+            m, keys, rates = pickle.loads(share.value)
+            do = work()
+            for pdf in batches:
+                if len(pdf):
+                    rated = np.stack([np.zeros(K) if r is None else r for r in pdf["rated"]]).astype(float)
+                    lens = np.stack(pdf["lens"]).astype(float)
+                    odds = np.stack(pdf["ll"]) if keys is None else _word_odds(pdf, keys, rates)
+                    out = do(pdf, m.posterior(odds, lens, rated), lens, rated)
+                    if out is not None:
+                        yield out
+            out = do(None, None, None, None)
+            if out is not None:
+                yield out
+
+        return table.mapInPandas(scan, schema)
+
+    def run(self, rounds: int, tolerance: float) -> bool:
+        """Alternate until no cell of the joint prior moves by more than tolerance; False without any rating."""
+
+        def work():
+            words, stats = _Words(), np.zeros(N_STATS)
+
+            def do(pdf, p, lens, rated):
+                nonlocal stats
+                if pdf is None:
+                    return _rows(words, stats)
+                words.add(pdf, p.sum((1, 3)))
+                stats += _stats(p, lens, rated)
+
+            return do
+
+        if not self._begin():
+            return False
+        for _ in range(rounds):
+            before = self.model.joint
+            self.counts, stats = _summed(self._pass(work, SUMS))
+            self.model.update(stats, False)
+            if np.abs(self.model.joint - before).max() < tolerance:
+                return True
+        raise RuntimeError(f"the reading model did not settle in {rounds} rounds")
+
+    def levels(self) -> DataFrame:
+        def work():
+            def do(pdf, p, lens, rated):
+                if pdf is not None:
+                    level = p.sum((2, 3)).argmax(1).astype(np.int32) + 1
+                    return pd.DataFrame({"doc_id": pdf["doc"], "n_words": pdf["n_words"], "rated": rated.any(1), "level": level})
+
+            return do
+
+        return self._pass(work, "doc_id long, n_words int, rated boolean, level int")
+
+
+def reading_levels(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str = "text", level: str = "level", rounds: int = 60, tolerance: float = 2e-3, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, n_words, rated, level): the level 1..5 of every document with a text.
 
-    ratings: (doc_id, level) rows; several ratings of a document are averaged, null ratings ignored. Without any rating
-    the scale has no anchor and the result is empty. Documents without words get the level of the scale's low end.
+    ratings: (doc_id, level) rows; each rating of a document is evidence, null ratings and levels beyond 1..5 are
+    ignored. Without any rating of a document the scale has no anchor and the result is empty. A document without words
+    gets the most frequent level. Every word and every sentence of every text counts, in blocks of block_words words of
+    the vocabulary. Raises if the model does not settle within the rounds.
     """
     spark = docs.sparkSession
-    mean = ratings.groupBy(F.col(doc_id).cast("long").alias("__d")).agg(F.avg(level).alias("__rating"), F.lit(True).alias("__rated"))
-    joined = docs.dropDuplicates([doc_id]).select(doc_id, text).join(mean, F.col(doc_id) == F.col("__d"), "left")
-    table = counted(joined, doc_id, text, "__rating")
-    model = alternate(table)
-    if model is None:
-        return spark.createDataFrame([], "doc_id long, n_words int, rated boolean, level int")
-    share = spark.sparkContext.broadcast(model)
-
-    def place(batches):
-        for pdf in batches:
-            best = _levels(pdf, *share.value)[0] if len(pdf) else np.zeros(0, int)
-            yield pd.DataFrame({"doc": pdf["doc"], "n_words": pdf["n_words"], "rating": pdf["rating"], "best": best.astype(np.int32)})
-
-    placed = table.mapInPandas(place, "doc long, n_words int, rating double, best int")
-    hist = placed.where("n_words >= 30").groupBy("best", F.coalesce(F.round("rating").cast("int"), F.lit(0)).alias("r")).count().toPandas()
-    free, rated = np.zeros(len(GRID)), np.zeros((len(GRID), 5))
-    for b, r, n in hist.itertuples(index=False):
-        if 1 <= r <= 5:
-            rated[b, r - 1] += n
-        else:
-            free[b] += n
-    if not rated.any():
+    rows = docs.where(F.col(text).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
+    n_rows, n_ids = rows.agg(F.count("*"), F.count_distinct("doc")).first()
+    if n_rows > n_ids:
+        rows = rows.dropDuplicates(["doc"])
+    given = ratings.where(F.col(level).between(1, K)).groupBy(F.col(doc_id).cast("long").alias("doc")).agg(F.array(*[F.count_if(F.round(level) == k + 1).cast("int") for k in range(K)]).alias("rated"))
+    table = _util.cut(counted(rows).join(_util.bounded(given, 64), "doc", "left"))
+    fit = Fit(table, block_words)
+    if not fit.run(rounds, tolerance):
         return spark.createDataFrame([], "doc_id long, n_words int, rated boolean, level int")
-    names = components(free, rated)
-    at = F.element_at(F.array(*[F.lit(int(x)) for x in names]), F.col("best") + 1)
-    return placed.select(F.col("doc").alias("doc_id"), "n_words", F.col("rating").isNotNull().alias("rated"), at.alias("level"))
+    return fit.levels()
 
 
 _util.by_value(sys.modules[__name__])

@@ -190,6 +190,27 @@ def test_reading_levels(spark):
     got = {r.doc_id: r.level for r in reading.reading_levels(docs, ratings).collect()}
     assert sum(got[i] == v for i, v in truth.items()) / 400 > 0.9 and 900 not in got and 1 <= got[902] <= 5
     assert reading.reading_levels(docs, ratings.limit(0)).count() == 0 and reading.reading_levels(docs.limit(0), ratings).count() == 0
+    blocks = {r.doc_id: r.level for r in reading.reading_levels(docs.unionByName(docs), ratings, block_words=40).collect()}
+    assert blocks == got  # repeated rows count once, and the vocabulary in four blocks gives what it gives in one
+
+
+def test_sentences_correct_misleading_words(spark):
+    rng = random.Random(19)
+    tiers = [[f"{chr(97 + t)}{a}{b}" for a in "aeiou" for b in "bcdfg"] for t in range(5)]
+
+    def make(words_at, sentences_at):
+        return " ".join(" ".join(rng.choice(tiers[min(4, max(0, words_at - 1 + rng.choice([-1, 0, 0, 1])))]) for _ in range(rng.randint(4, 6) + 4 * sentences_at)) + "." for _ in range(8))
+
+    truth, texts = {}, []
+    for i in range(500):
+        v = 1 + i % 5
+        off = rng.choice([0, 0, 0, 1, -1]) if 1 < v < 5 else 0
+        truth[i] = v
+        texts.append((i, make(v + off, v - off)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    ratings = spark.createDataFrame([(i, v) for i, v in truth.items() if i % 4 == 0], "doc_id long, level int")
+    got = {r.doc_id: r.level for r in reading.reading_levels(docs, ratings).where("not rated").collect()}
+    assert sum(got[i] == truth[i] for i in got) / len(got) > 0.9
 
 
 # ---- 1 ----
