@@ -27,13 +27,11 @@ K, LENGTHS = 5, 97
 AXIS = np.arange(K) - (K - 1) / 2
 DESIGN = np.stack([np.ones(K), AXIS, AXIS**2 - 2], 1)
 RIDGE = np.array([1e-3, 1.0, 2.0])
-#: Running words of one text depend on each other: a word counts as this share of an independent one.
-WORD_WEIGHT = 0.3
 #: Words whose parameters are sent to the executors at a time (28 bytes each).
 BLOCK_WORDS = 500_000
 _KERNEL = np.array([1, 2, 3, 2, 1]) / 9
 #: Where the raters' confusion starts from, and the weight of this start in documents.
-CONFUSED, CONFUSED_WEIGHT = np.where(np.eye(K) > 0, 0.9, np.where(np.abs(np.subtract.outer(np.arange(K), np.arange(K))) == 1, 0.05, 0.001)), 10.0
+CONFUSED, CONFUSED_WEIGHT = np.where(np.eye(K) > 0, 0.8, np.where(np.abs(np.subtract.outer(np.arange(K), np.arange(K))) == 1, 0.1, 0.005)), 10.0
 
 COUNTED = "doc long, n_words int, at array<long>, n array<int>, lens array<int>"
 
@@ -90,7 +88,7 @@ class Model:
     def __init__(self):
         joint = np.full((K, K, K), 1e-4)
         for k in range(K):
-            for off, w in ((0, 0.7), (1, 0.15), (-1, 0.15)):
+            for off, w in ((0, 0.9), (1, 0.05), (-1, 0.05)):
                 if 0 <= k + off < K and 0 <= k - off < K:
                     joint[k, k + off, k - off] += w
         self.joint, self.raters = joint / joint.sum(), CONFUSED / CONFUSED.sum(1, keepdims=True)
@@ -100,7 +98,7 @@ class Model:
         """P(level, words' level, sentences' level) of each document from the words' log likelihood, lengths and ratings."""
         s = np.log(self.joint)[None] + (rated @ np.log(self.raters).T)[:, :, None, None]
         if words is not None:
-            s = s + WORD_WEIGHT * words[:, None, :, None] + (lens @ np.log(self.lengths).T)[:, None, None, :]
+            s = s + words[:, None, :, None] + (lens @ np.log(self.lengths).T)[:, None, None, :]
         p = np.exp(s - s.max((1, 2, 3), keepdims=True))
         return p / p.sum((1, 2, 3), keepdims=True)
 
@@ -121,10 +119,10 @@ N_STATS = K**3 + K * LENGTHS + K * K
 
 
 def _flat(pdf: pd.DataFrame):
-    """(document, key, count) triples of a batch."""
+    """(document, key, weight) triples of a batch; repeats of a word in one text depend on each other and weigh 1 + ln n."""
     size = pdf["at"].map(len).to_numpy()
     doc = np.repeat(np.arange(len(pdf)), size)
-    return (doc, np.concatenate(pdf["at"].to_list()), np.concatenate(pdf["n"].to_list()).astype(float)) if size.sum() else (doc, np.zeros(0, np.int64), np.zeros(0))
+    return (doc, np.concatenate(pdf["at"].to_list()), 1 + np.log(np.concatenate(pdf["n"].to_list()))) if size.sum() else (doc, np.zeros(0, np.int64), np.zeros(0))
 
 
 def _word_odds(pdf: pd.DataFrame, keys: np.ndarray, rates: np.ndarray) -> np.ndarray:
@@ -309,7 +307,7 @@ class Fit:
         return self._pass(work, "doc_id long, n_words int, rated boolean, level int")
 
 
-def reading_levels(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str = "text", level: str = "level", rounds: int = 60, tolerance: float = 2e-3, block_words: int = BLOCK_WORDS) -> DataFrame:
+def reading_levels(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str = "text", level: str = "level", rounds: int = 60, tolerance: float = 3e-3, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, n_words, rated, level): the level 1..5 of every document with a text.
 
     ratings: (doc_id, level) rows; each rating of a document is evidence, null ratings and levels beyond 1..5 are
