@@ -59,7 +59,7 @@ def p3_copies(spark: SparkSession, sf: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     """For each work with several matched rows, the row whose value of each field survives."""
-    return survivor.survivors(_matched(spark, sf), "record_id", "canonical_title", "doi", "abstract", "match_score", "match_source")
+    return survivor.survivors(_matched(spark, sf), "record_id", "canonical_title", "doi", "abstract", "match_score")
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:

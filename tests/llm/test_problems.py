@@ -68,7 +68,7 @@ def test_survivors(spark):
         ("s1", "Alone in Here", None, long, 0.5, "x"), ("t1", None, None, None, None, None), ("t2", None, None, long, 2.0, "x"), ("u1", " Two  Spaces Here", "10.1/u", "N/A", -1.0, "x"), ("u2", "two spaces here.", "10.1/u", "See PDF.", None, "x"),
     ]
     df = spark.createDataFrame(data, "id string, title string, doi string, abs string, score double, src string").withColumn("n", F.lit(1)).withColumn("label", F.lit("clash"))
-    run = lambda d: rows(survivor.survivors(d, "id", "title", "doi", "abs", "score", "src"))
+    run = lambda d: rows(survivor.survivors(d, "id", "title", "doi", "abs", "score"))
     want = [("r0", "abstract", "r0"), ("r0", "canonical_title", "r1"), ("r0", "match_score", "r0")]
     assert run(df) == want and run(df.unionByName(df)) == want and run(df.limit(0)) == []
 
@@ -81,9 +81,23 @@ def test_works_follow_chains(spark):
     assert {r[1] for r in rows(survivor.works(df, "id", "t", "d"))} == {"000"}
 
 
+def test_trust_in_marks_is_learned(spark, monkeypatch):
+    """A mark that loses its contests is not believed where it stands alone; one that wins them is."""
+    whole = "The towns were measured for a year. Trees helped a lot."
+    notice = whole + " All rights reserved."
+    data = [(f"a{i}{x}", f"Work {i} of Many", t) for i in range(20) for x, t in (("x", whole), ("y", notice))] + [("b1", "Only with Notice", notice), ("b2", "Only with Notice", None)]
+    data += [(f"c{i}{x}", f"Tiny {i} of Many", t) for i in range(20) for x, t in (("x", "Trees helped."), ("y", "trees helped"))] + [("d1", "Only Tiny", "Trees cool."), ("d2", "Only Tiny", "")]
+    df = spark.createDataFrame(data, "id string, title string, abs string").withColumn("doi", F.lit(None).cast("string")).withColumn("score", F.lit(None).cast("double"))
+    run = lambda: {r[0]: r[2] for r in rows(survivor.survivors(df, "id", "title", "doi", "abs", "score").where("field = 'abstract'"))}
+    got = run()
+    assert got["a0x"] == "a0x" and "b1" not in got and got["c0x"] == "c0x" and got["d1"] == "d1"
+    monkeypatch.setattr(survivor, "discover", lambda claimed, used: [survivor.START] * len(survivor._marks()))
+    assert run()["b1"] == "b1"
+
+
 def test_survivors_of_many_sources(spark):
     r = spark.range(8400).select(F.format_string("%05d", F.col("id")).alias("id"), F.format_string("Title %d", (F.col("id") / 2).cast("int")).alias("title"), F.lit(None).cast("string").alias("doi"), F.lit(None).cast("string").alias("abs"), ((F.col("id") % 2) / 2).alias("score"), F.format_string("s%d", (F.col("id") / 2).cast("int")).alias("src"))
-    got = rows(survivor.survivors(r, "id", "title", "doi", "abs", "score", "src").where("field = 'match_score'"), "group_record_id", "record_id")
+    got = rows(survivor.survivors(r, "id", "title", "doi", "abs", "score").where("field = 'match_score'"), "group_record_id", "record_id")
     assert got == [(f"{i:05d}", f"{i + 1:05d}") for i in range(0, 8400, 2)]
 
 
