@@ -1,8 +1,9 @@
 """Problem 8: evaluation texts leaking into training text.
 
-Method: a BM25 inverted index of the test items with block-max WAND. Terms are shingles of five words. Every passage of
-every training text is a query; all items above a threshold that one shared rare shingle reaches are retrieved, and
-each is verified by aligning the words of passage and item.
+Method: a BM25 inverted index of the test items with block-max WAND. Terms are runs of four words. Every passage of every
+training text is a query. An item's impacts are measured in units of what the least run that counts as a leak must
+still score, so all items that reach 1 are retrieved and nothing that can be verified is lost; each is then verified by
+aligning the words of passage and item.
 """
 
 from __future__ import annotations
@@ -12,18 +13,18 @@ import math
 import pickle
 import re
 import sys
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.llm import _util
 
-SHINGLE, PASSAGE, STRIDE, BLOCK = 5, 64, 32, 16
+TERM, PHRASE, PASSAGE, STRIDE, BLOCK = 4, 5, 64, 32, 16
 K1, B = 1.2, 0.75
-PAD, DRIFT = 32, 3
 PART_CHARS = 4 << 20
 WORD = re.compile(r"[^\W\d_]+")
 BROKEN = re.compile(r"[-‐‑]\r?\n\s*(?=[^\W\d_])|[­​-‍⁠﻿]")
@@ -35,7 +36,7 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(MARK.sub(" ", BROKEN.sub("", text)).lower())
 
 
-def rolling(ids: np.ndarray, n: int = SHINGLE) -> np.ndarray:
+def rolling(ids: np.ndarray, n: int = TERM) -> np.ndarray:
     """A 64-bit key of every run of n ids; runs with an unknown word (id 0) get key 0."""
     if len(ids) < n:
         return np.zeros(0, np.uint64)
@@ -51,47 +52,60 @@ def rolling(ids: np.ndarray, n: int = SHINGLE) -> np.ndarray:
     return key
 
 
+def phrases(text: str) -> list[int]:
+    """64-bit keys of the runs of PHRASE words."""
+    w = words_of(text)
+    return [xxhash.xxh64_intdigest(" ".join(w[i : i + PHRASE])) - (1 << 63) for i in range(len(w) - PHRASE + 1)]
+
+
+def least_score(keys: list[int], impact: dict[int, float], least: int, changed: float) -> float:
+    """What `least` running words of an item must score at the least: a changed word takes TERM terms away at most."""
+    width, best = least - TERM + 1, math.inf
+    left = max(1, width - TERM * round(changed * least))
+    for i in range(len(keys) - width + 1):
+        best = min(best, sum(sorted(impact[k] for k in set(keys[i : i + width]))[:left]))
+    return best
+
+
 class Index:
-    """The inverted index of one block of items: shingle -> postings (item number, BM25 impact) in blocks with maxima."""
+    """The inverted index of one block of items: term -> postings (item number, impact) in blocks with maxima.
+
+    shared: keys of the phrases that many items share. Items of fewer than `least` words cannot leak and have no postings.
+    """
 
-    def __init__(self, items: list[tuple[int, str]], common_share: float, common_least: int):
+    def __init__(self, items: list[tuple[int, str]], shared: set[int], least: int = 15, changed: float = 1 / 7):
         self.item_ids = [i for i, _ in items]
         self.words: dict[str, int] = {}
         self.ids = []
         for _, text in items:
             self.ids.append(np.array([self.words.setdefault(w, len(self.words) + 1) for w in words_of(text)], np.int64))
-        n, tf = len(items), defaultdict(lambda: defaultdict(int))
-        keys = [rolling(x) for x in self.ids]
-        for d, ks in enumerate(keys):
-            for k in ks.tolist():
-                tf[k][d] += 1
-        mean = max(1.0, float(np.mean([len(x) for x in self.ids]))) if n else 1.0
-        common = max(common_least, common_share * n)
-        self.postings, least = {}, math.inf
-        for k, docs in tf.items():
-            df = len(docs)
-            if df > common:
-                continue
-            idf = math.log(1 + (n - df + 0.5) / (df + 0.5))
-            post = [(d, idf * f * (K1 + 1) / (f + K1 * (1 - B + B * len(self.ids[d]) / mean))) for d, f in sorted(docs.items())]
-            least = min(least, min(w for _, w in post))
-            self.postings[k] = ([d for d, _ in post], [w for _, w in post], [max(w for _, w in post[i : i + BLOCK]) for i in range(0, len(post), BLOCK)])
-        self.threshold = least if self.postings else math.inf
-        self.keys = np.array(sorted(self.postings), np.uint64)
-        # where each shingle stands in the items' words, laid end to end with gaps
-        self.laid = np.concatenate([np.full(PAD, -1, np.int64), *[y for x in self.ids for y in (x, np.full(PAD, -1, np.int64))]])
-        begin = np.cumsum([PAD, *[len(x) + PAD for x in self.ids]])[:-1]
-        spots = sorted((k, int(begin[d]) + j, d) for d, ks in enumerate(keys) for j, k in enumerate(ks.tolist()) if k in self.postings)
-        self.spot_at = np.searchsorted(np.array([k for k, _, _ in spots], np.uint64), np.append(self.keys, np.uint64(2**64 - 1)))
-        self.spot_j, self.spot_item = np.array([j for _, j, _ in spots], np.int64), np.array([d for _, _, d in spots], np.int64)
         #: which words of an item lie in an opening or phrase that many items share
         self.shared = []
-        for x, ks in zip(self.ids, keys):
+        for x, (_, text) in zip(self.ids, items):
             m = np.zeros(len(x), bool)
-            for i, k in enumerate(ks.tolist()):
-                if len(tf[k]) > common:
-                    m[i : i + SHINGLE] = True
+            for i, k in enumerate(phrases(text)):
+                if k in shared:
+                    m[i : i + PHRASE] = True
             self.shared.append(m)
+        # a term that lies in a shared phrase whole is no evidence and has no postings
+        n, df = len(items), defaultdict(int)
+        keys = [[k for i, k in enumerate(rolling(x).tolist()) if not m[i : i + TERM].all()] for x, m in zip(self.ids, self.shared)]
+        for ks in keys:
+            for k in set(ks):
+                df[k] += 1
+        mean = max(1.0, float(np.mean([len(x) for x in self.ids]))) if n else 1.0
+        post = defaultdict(list)
+        for d, ks in enumerate(keys):
+            f = Counter(ks)
+            impact = {k: math.log(1 + (n - df[k] + 0.5) / (df[k] + 0.5)) * f[k] * (K1 + 1) / (f[k] + K1 * (1 - B + B * len(self.ids[d]) / mean)) for k in f}
+            unit = least_score(ks, {k: w / f[k] for k, w in impact.items()}, least, changed)
+            if unit < math.inf:
+                for k, w in impact.items():
+                    post[k].append((d, w / unit))
+        self.postings = {k: ([d for d, _ in p], [w for _, w in p], [max(w for _, w in p[i : i + BLOCK]) for i in range(0, len(p), BLOCK)]) for k, p in post.items()}
+        self.threshold = 1.0
+        self.keys = np.array(sorted(self.postings), np.uint64)
+        self.most = np.array([max(self.postings[k][2]) for k in self.keys.tolist()])
 
     def retrieve(self, terms: list[int]) -> list[tuple[int, float]]:
         """All items whose BM25 score for the query reaches the threshold, by block-max WAND."""
@@ -156,62 +170,67 @@ def aligned(passage: np.ndarray, item: np.ndarray, shared: np.ndarray, price: fl
     return span, same
 
 
-def promising(words: np.ndarray, at: np.ndarray, laid: np.ndarray, j: np.ndarray, least: int, changed: float) -> np.ndarray:
-    """Whether some `least` words of the item around a shared shingle have nearly all their equals close by in the text.
-
-    A verified run always passes: what it has equal lies within DRIFT words of the shingle's diagonal.
-    """
-    before = least - SHINGLE
-    k = np.arange(-before, least)
-    same = np.zeros((len(at), len(k)), bool)
-    want = laid[np.clip(j[:, None] + k, 0, len(laid) - 1)]
-    for drift in range(-DRIFT, DRIFT + 1):
-        same |= words[np.clip(at[:, None] + k + drift, 0, len(words) - 1)] == want
-    c = np.concatenate([np.zeros((len(at), 1), int), np.cumsum(same, 1)], 1)
-    return (c[:, least:] - c[:, : before + 1]).max(1) >= least - math.ceil(changed * least) - 1
-
-
 def leaks_in(texts: list[str], index: Index, least: int, changed: float) -> list[tuple[int, int, int, int]]:
     """(text number, item number, words in the run, equal ones) of every verified leak."""
     get, flat, starts = index.words.get, [], [0]
     for t in texts:
         flat.extend([get(w, 0) for w in words_of(t)])
-        flat.extend([0] * SHINGLE)
+        flat.extend([0] * TERM)
         starts.append(len(flat))
-    ids = np.array(flat, np.int64)
+    ids, begin = np.array(flat, np.int64), np.array(starts)
     keys = rolling(ids)
     if not len(keys) or not len(index.keys):
         return []
-    where = np.searchsorted(index.keys, keys)
-    hit = np.flatnonzero((index.keys[np.minimum(where, len(index.keys) - 1)] == keys) & (keys != 0))
-    doc = np.searchsorted(np.array(starts), hit, side="right") - 1
-    queries: dict[tuple[int, int], list[int]] = defaultdict(list)
-    for d, p in zip(doc.tolist(), hit.tolist()):
-        off = p - starts[d]
-        for q in {off // STRIDE, max(0, off // STRIDE - 1)}:
-            if q * STRIDE <= off and off + SHINGLE <= q * STRIDE + PASSAGE:
-                queries[(d, q)].append(int(keys[p]))
-    n = index.spot_at[where[hit] + 1] - index.spot_at[where[hit]]
-    spot = np.repeat(index.spot_at[where[hit]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    near = promising(ids, np.repeat(hit, n), index.laid, index.spot_j[spot], least, changed)
-    worth = {(d, i) for d, i in zip(np.repeat(doc, n)[near].tolist(), index.spot_item[spot][near].tolist())}
+    where = np.minimum(np.searchsorted(index.keys, keys), len(index.keys) - 1)
+    hit = np.flatnonzero((index.keys[where] == keys) & (keys != 0))
+    doc = np.searchsorted(begin, hit, side="right") - 1
+    off = hit - begin[doc]
+    # passages are numbered through; a term lies in two that overlap
+    first = np.concatenate([[0], np.cumsum(np.diff(begin) // STRIDE + 1)])
+    now, before = first[doc] + off // STRIDE, first[doc] + off // STRIDE - 1
+    inside = (off // STRIDE > 0) & (off % STRIDE + STRIDE + TERM <= PASSAGE)
+    passage = np.concatenate([now, before[inside]])
+    term = np.concatenate([where[hit], where[hit][inside]])
+    # the first test of WAND for all passages at once: can the greatest impacts of the terms reach the threshold?
+    bound = np.bincount(passage, weights=index.most[term], minlength=first[-1])
+    order = np.flatnonzero(bound[passage] >= index.threshold - 1e-9)
+    order = order[np.argsort(passage[order], kind="stable")]
+    passage, term = passage[order], term[order]
+    edge = np.flatnonzero(np.diff(passage, prepend=-1))
     best: dict[tuple[int, int], tuple[int, int]] = {}
-    for (d, q), terms in queries.items():
-        lo = starts[d] + q * STRIDE
-        part = ids[lo : min(lo + PASSAGE, starts[d + 1])]
-        for item, _ in index.retrieve(sorted(set(terms))):
-            if (d, item) not in worth:
-                continue
-            span, same = aligned(part, index.ids[item], index.shared[item])
-            if span >= least and span - same <= math.ceil(changed * span):
-                best[(d, item)] = max(best.get((d, item), (0, 0)), (span, same))
+    for lo, hi in itertools.pairwise([*edge.tolist(), len(passage)]):
+        p = int(passage[lo])
+        found = index.retrieve([int(index.keys[t]) for t in np.unique(term[lo:hi])])
+        if found:
+            d = int(np.searchsorted(first, p, side="right")) - 1
+            at = int(begin[d]) + (p - int(first[d])) * STRIDE
+            part = ids[at : min(at + PASSAGE, int(begin[d + 1]))]
+            for item, _ in found:
+                span, same = aligned(part, index.ids[item], index.shared[item])
+                if span >= least and span - same <= math.ceil(changed * span):
+                    best[(d, item)] = max(best.get((d, item), (0, 0)), (span, same))
     return [(d, item, *v) for (d, item), v in best.items()]
 
 
+def shared_phrases(items: DataFrame, text: str, share: float, fewest: int) -> set[int]:
+    """Keys of the phrases in more than `share` of the items and in more than `fewest`.
+
+    They are counted over all items; there are at most 1 / share times the mean number of words of an item.
+    """
+
+    def scan(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"k": [k for t in pdf["t"] for k in set(phrases(t))]}, dtype="int64")
+
+    common = max(fewest, share * items.count())
+    each = items.select(F.col(text).alias("t")).mapInPandas(scan, "k long").groupBy("k").count()
+    return {r.k for r in each.where(F.col("count") > common).select("k").toLocalIterator()}
+
+
 def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", least: int = 15, changed: float = 1 / 7, common_share: float = 0.05, common_least: int = 8, block_bytes: int = 16 << 20) -> DataFrame:
     """(doc_id, item_id, run_words, equal_words): the documents that hold at least `least` running words of an item.
 
-    Up to about `changed` of the run's words may differ. Phrases that more than common_share of the items (and more
+    Up to about `changed` of the run's words may differ. Phrases that more than common_share of all items (and more
     than common_least) share are no evidence. The index is broadcast in blocks of at most block_bytes of item text, so
     its size is bounded however many items there are; each block is asked all passages of all texts, whole texts, with
     no shuffle. Null or empty texts hold and leak nothing; repeated rows give repeated findings only once.
@@ -219,10 +238,10 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
     spark = docs.sparkSession
     it = items.where(f"{text} is not null and {item_id} is not null").select(F.col(item_id).cast("long").alias("i"), F.col(text).alias("t")).distinct()
     blocks = max(1, math.ceil((it.agg(F.sum(F.octet_length("t"))).first()[0] or 0) / block_bytes))
-    out = None
+    shared, out = shared_phrases(it, "t", common_share, common_least), None
     for b in range(blocks):
         rows = it if blocks == 1 else it.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == b)
-        index = _util.share(spark, Index(sorted((r.i, r.t) for r in rows.toLocalIterator()), common_share, common_least))
+        index = _util.share(spark, Index(sorted((r.i, r.t) for r in rows.toLocalIterator()), shared, least, changed))
 
         def scan(batches, index=index):
             ix = pickle.loads(index.value)

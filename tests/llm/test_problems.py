@@ -182,17 +182,52 @@ def test_leaks(spark):
 def test_wand_finds_what_a_full_scan_finds():
     rng = random.Random(2)
     items = [(i, " ".join(rng.choice("abcdefg") * 3 for _ in range(30))) for i in range(60)]
-    ix = leakage.Index(items, 0.5, 40)
+    ix = leakage.Index(items, set())
     for _ in range(50):
         terms = sorted(rng.sample(sorted(ix.postings), 12))
         score = {}
         for t in terms:
             for d, w in zip(*ix.postings[t][:2]):
                 score[d] = score.get(d, 0) + w
-        ix.threshold = rng.choice([1.0, 4.0, 9.0])
+        ix.threshold = rng.choice([0.5, 1.0, 2.0])
         assert sorted(d for d, _ in ix.retrieve(terms)) == sorted(d for d, s in score.items() if s >= ix.threshold - 1e-12)
 
 
+def test_wand_skips_what_cannot_be_a_leak():
+    """Every pair that the alignment verifies, tried on all pairs, is retrieved; most pairs that share a term are not."""
+    rng = random.Random(3)
+    vocab = [f"{a}{b}n" for a in "bdfgklmprst" for b in "aeiou"]
+    say = lambda k: [rng.choice(vocab) for _ in range(k)]
+    stock = [say(5) for _ in range(6)]  # set phrases that items and texts share
+    item = [say(12) + rng.choice(stock) + say(30) + rng.choice(stock) + say(12) for _ in range(30)]
+    texts = []
+    for i in range(120):
+        part = item[i % 30][(a := rng.randrange(40)) : a + rng.choice([0, 9, 15, 18, 24])]
+        if len(part) > 14:
+            part[rng.randrange(1, len(part) - 1)] = "changed"
+        texts.append(" ".join(say(20) + rng.choice(stock) + part + say(15)))
+    ix = leakage.Index([(i, " ".join(w)) for i, w in enumerate(item)], set())
+    asked, inner = [], ix.retrieve
+
+    def retrieve(terms):
+        out = inner(terms)
+        asked.append((len({d for t in terms for d in ix.postings[t][0]}), len(out)))
+        return out
+
+    ix.retrieve = retrieve
+    got = {(d, i) for d, i, *_ in leakage.leaks_in(texts, ix, 15, 1 / 7)}
+    want = set()
+    for d, t in enumerate(texts):
+        ids = np.array([ix.words.get(w, 0) for w in leakage.words_of(t)])
+        for i in range(30):
+            for lo in range(0, len(ids), leakage.STRIDE):
+                span, same = leakage.aligned(ids[lo : lo + leakage.PASSAGE], ix.ids[i], ix.shared[i])
+                if span >= 15 and span - same <= -(-span // 7):
+                    want.add((d, i))
+    assert got == want and len(want) > 40
+    assert sum(b for _, b in asked) < 0.5 * sum(a for a, _ in asked)
+
+
 # ---- 9 ----
 def test_reading_levels(spark):
     rng = random.Random(9)
