@@ -41,13 +41,20 @@ def similar_pairs(df: DataFrame, id: str, vector: str, least: float = 0.35, k: i
     return top_per_key(scored, ["source"], [F.desc("score"), F.desc("target")], k)
 
 
-def related(df: DataFrame, id: str, topic: str, people: DataFrame, person: str) -> DataFrame:
-    """(id, other): items that share a topic or a person, as a union of two equi-joins. For a stated set of items `df`."""
-    t = df.where(F.col(topic).isNotNull())
-    by_topic = t.select(F.col(id).alias("a"), topic).join(t.select(F.col(id).alias("b"), topic), topic).select("a", "b")
-    p = people.join(df.select(id).distinct(), id, "left_semi").select(id, person).distinct()
-    by_person = p.select(F.col(id).alias("a"), person).join(p.select(F.col(id).alias("b"), person), person).select("a", "b")
-    return by_topic.unionByName(by_person).where("a <> b").distinct()
+def related(chosen: DataFrame, items: DataFrame, id: str, topic: str, people: DataFrame, person: str) -> DataFrame:
+    """(id, other, shared): all items that share a topic or a person with the chosen ones, and how many of both.
+
+    chosen: a stated set of ids; items: (id, topic) and people: (id, person) of all items. Each side is an equi-join from
+    the chosen items' distinct topics or people, so the pairs are those of the chosen set with all items. Null topics and
+    people relate nothing.
+    """
+    c = chosen.select(id).distinct()
+
+    def by(df: DataFrame, column: str) -> DataFrame:
+        d = df.where(F.col(column).isNotNull()).select(F.col(id), F.col(column).alias("k")).distinct()
+        return d.join(c, id, "left_semi").join(d.select(F.col(id).alias("other"), "k"), "k").where(F.col(id) != F.col("other")).select(id, "other")
+
+    return by(items, topic).unionByName(by(people, person)).groupBy(id, "other").agg(F.count("*").alias("shared"))
 
 
 def neighbourhood(edge: DataFrame, selected: Column) -> DataFrame:

@@ -80,10 +80,28 @@ def with_runner_up(df: DataFrame, keys: list[str], score: str, tie: str) -> Data
     return both.where("__r = 1").drop("__r")
 
 
-def carry_forward(df: DataFrame, group: list[str], order: list[str], value: Column, out: str) -> DataFrame:
-    """The last non-null value seen so far in the group's order."""
-    w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(out, F.last(value, ignorenulls=True).over(w))
+def carry_forward(df: DataFrame, group: list[str], order: list[str], value: Column, out: str, chunk: int | None = None) -> DataFrame:
+    """The last non-null value seen so far in the group's order.
+
+    chunk: with one whole-number order column, the order is cut into stretches of so many numbers. Each is filled by
+    itself, and its last value is carried into the next ones by a window over one row per stretch, so a group that holds
+    most rows is spread over tasks.
+    """
+    if chunk is None:
+        w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(out, F.last(value, ignorenulls=True).over(w))
+    at = F.floor(F.col(order[0]) / chunk)
+    cut = df.withColumn("__v", value).withColumn("__at", at)
+    inner = Window.partitionBy(*group, "__at").orderBy(order[0]).rowsBetween(Window.unboundedPreceding, 0)
+    # a stretch without a value takes what the stretches before it left
+    stretches = cut.groupBy(*group, "__at").agg(F.max_by("__v", F.when(F.col("__v").isNotNull(), F.col(order[0]))).alias("__last"))
+    outer = Window.partitionBy(*group).orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    before = stretches.withColumn("__before", F.last("__last", ignorenulls=True).over(outer)).select(*group, "__at", "__before")
+    keys = [*group, "__at"]
+    before = before.toDF(*[f"__k{i}" for i in range(len(keys))], "__before")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
+    filled = cut.withColumn("__in", F.last("__v", ignorenulls=True).over(inner)).join(before, same)
+    return filled.withColumn(out, F.coalesce("__in", "__before")).drop("__v", "__at", "__in", "__before", *[f"__k{i}" for i in range(len(keys))])
 
 
 def grouped_lists(df: DataFrame, keys: list[str | Column], lists: dict[str, str]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from citeloom.functions import numeric, text
@@ -280,10 +280,11 @@ def article_sources(t):
     return a.join(t("publication_candidates").select(F.col("record_id").alias("source_id"), "report_year"), "source_id")
 
 
-@query("SELECT DISTINCT s AS source_id FROM (SELECT trim(unnest(string_split(source_record_ids, ';'))) AS s FROM article_faculty_attributions) WHERE s <> '' AND s NOT IN (SELECT record_id FROM publication_resolution WHERE match_status = 'matched')")
+@query("SELECT DISTINCT s AS source_id FROM (SELECT trim(unnest(string_split(source_record_ids, ';'))) AS s FROM article_faculty_attributions) WHERE s <> '' AND s NOT IN (SELECT record_id FROM cluster_publications WHERE record_id IS NOT NULL)")
 def sources_missing(t):
+    """Source rows of attributed articles that are no articles themselves."""
     a = t("article_faculty_attributions").select(F.explode(text.split_list(F.col("source_record_ids"))).alias("record_id")).distinct()
-    return keep.unseen(a, t("publication_resolution").where("match_status = 'matched'"), "record_id").select(F.col("record_id").alias("source_id"))
+    return keep.unseen(a, t("cluster_publications"), "record_id").select(F.col("record_id").alias("source_id"))
 
 
 @query("SELECT record_id FROM cluster_publications WHERE record_id NOT IN (SELECT record_id FROM article_faculty_attributions)")
@@ -421,9 +422,19 @@ def graph_edges(t):
     return _graph(t)[1]
 
 
-@query("SELECT unnest(['unique_node_ids', 'unique_edge_ids', 'no_dangling_edges', 'labels_present']) AS check_name, CAST(0 AS BIGINT) AS n_bad")
+_ALL_NODES = "SELECT record_id AS id, coalesce(canonical_title, '') AS label FROM article_faculty_attributions UNION ALL SELECT DISTINCT faculty_name, faculty_name FROM article_faculty_attributions"
+_ALL_EDGES = "SELECT 'edge_' || substr(sha256(concat_ws(':', 'attributed_publication', faculty_name, publication_id)), 1, 16) AS id, faculty_name AS source, publication_id AS target FROM article_faculty_attributions WHERE faculty_name IS NOT NULL AND publication_id IS NOT NULL"
+
+
+@query(f"""WITH n AS ({_ALL_NODES}), e AS ({_ALL_EDGES}) SELECT 'unique_node_ids' AS check_name, count(*) AS n_bad FROM (SELECT id FROM n GROUP BY id HAVING count(*) > 1)
+UNION ALL SELECT 'unique_edge_ids', count(*) FROM (SELECT id FROM e GROUP BY id HAVING count(*) > 1)
+UNION ALL SELECT 'no_dangling_edges', count(*) FROM (SELECT DISTINCT * FROM e WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.id = e.source) OR NOT EXISTS (SELECT 1 FROM n WHERE n.id = e.target))
+UNION ALL SELECT 'labels_present', count(*) FROM n WHERE coalesce(trim(label), '') = ''""")
 def validate_graph(t):
-    return graph.validation(*_graph(t))
+    """The table as it is, rows repeated and publications named otherwise than their nodes: the checks find all that is wrong."""
+    a = t("article_faculty_attributions")
+    n = a.select(F.col("record_id").alias("id"), F.coalesce("canonical_title", F.lit("")).alias("label")).unionByName(a.select(F.col("faculty_name").alias("id"), F.col("faculty_name").alias("label")).distinct())
+    return graph.validation(n, graph.edges(a.where("faculty_name is not null and publication_id is not null"), "attributed_publication", "faculty_name", "publication_id"))
 
 
 @query(f"WITH e AS ({_EDGE}) SELECT DISTINCT unnest([source, target]) AS id FROM e WHERE type = 'faculty_topic' AND target = '3'")
@@ -431,11 +442,15 @@ def neighborhood(t):
     return graph.neighbourhood(_graph(t)[1], (F.col("type") == "faculty_topic") & (F.col("target") == "3"))
 
 
-@query("""WITH q AS (SELECT DISTINCT record_id, topic_id FROM article_faculty_attributions WHERE topic_id = 7), p AS (SELECT DISTINCT record_id, faculty_name FROM article_faculty_attributions WHERE record_id IN (SELECT record_id FROM q))
-SELECT a.record_id AS a, b.record_id AS b FROM q a JOIN q b ON a.topic_id = b.topic_id AND a.record_id <> b.record_id UNION SELECT a.record_id, b.record_id FROM p a JOIN p b ON a.faculty_name = b.faculty_name AND a.record_id <> b.record_id""")
+@query("""WITH a AS (SELECT DISTINCT record_id, topic_id, faculty_name FROM article_faculty_attributions WHERE record_id IS NOT NULL), q AS (SELECT min(record_id) AS record_id FROM a WHERE topic_id >= 0 GROUP BY topic_id),
+k AS (SELECT DISTINCT record_id, 't' AS s, CAST(topic_id AS VARCHAR) AS v FROM a WHERE topic_id >= 0 UNION ALL SELECT DISTINCT record_id, 'p', faculty_name FROM a WHERE faculty_name IS NOT NULL)
+SELECT x.record_id AS record_id, y.record_id AS other, count(*) AS shared FROM k x JOIN k y ON x.s = y.s AND x.v = y.v AND x.record_id <> y.record_id WHERE x.record_id IN (SELECT record_id FROM q) GROUP BY 1, 2""")
 def related_items(t):
-    a = t("article_faculty_attributions")
-    return graph.related(a.where("topic_id = 7").select("record_id", "topic_id").distinct(), "record_id", "topic_id", a, "faculty_name")
+    """For the first article of every topic, all articles of its topic or of its people."""
+    a = t("article_faculty_attributions").where("record_id is not null")
+    topic = a.select("record_id", F.when(F.col("topic_id") >= 0, F.col("topic_id")).alias("topic_id"))
+    chosen = topic.where("topic_id is not null").groupBy("topic_id").agg(F.min("record_id").alias("record_id"))
+    return graph.related(chosen, topic, "record_id", "topic_id", a, "faculty_name")
 
 
 @query("SELECT record_id, CASE WHEN x IS NULL THEN NULL ELSE round(0.05 + 0.9 * (x - lx) / (hx - lx), 6) END AS x, CASE WHEN y IS NULL THEN NULL ELSE round(0.05 + 0.9 * (y - ly) / (hy - ly), 6) END AS y FROM cluster_publications, (SELECT min(x) AS lx, max(x) AS hx, min(y) AS ly, max(y) AS hy FROM cluster_publications)")
@@ -535,7 +550,45 @@ def identity_profiles(t):
 
 
 # ---- extraction, review ---------------------------------------------------------------------------------------------
-@query()
+#: Text as `unbroken` gives it.
+_UNBROKEN = "trim(regexp_replace(regexp_replace(translate({0}, '‐‑' || chr(173), '--'), '([\\p{{L}}\\p{{N}}_])-[ \\t\\n\\x0B\\f\\r]*\\n[ \\t\\n\\x0B\\f\\r]*([\\p{{L}}\\p{{N}}_])', '\\1\\2', 'g'), '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'))"
+
+
+def _quote(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _titles_sql() -> str:
+    """The title rules as SQL: the rest after a rule's beginning, then the shortest piece before its end."""
+    steps, tries, begun = [], [], {}
+    for i, r in enumerate(extract.RULES):
+        if r.method == "quoted_title":
+            steps.append(f"nullif(trim(regexp_extract(c, '{extract.QUOTE}([^”\"]{{5,300}}){extract.UNQUOTE}', 1)), '') AS t{i}")
+        else:
+            flag = "(?i)" if r.until.startswith("(?i)") else ""
+            end = r.until.removeprefix("(?i)")
+            after = r.after.removeprefix("(?i)")
+            begins = "TRUE" if r.after == "^" else f"regexp_matches(c, {_quote(r.after)})"
+            fold = "(?i)" if r.after.startswith("(?i)") else ""
+            head = f"(?s)^.*?{after}" if not after.startswith("^") else f"(?s)^{after[1:]}"
+            rest = "c" if r.after == "^" else f"regexp_replace(c, {_quote(fold + head)}, '')"
+            piece = f"regexp_extract({rest}, {_quote(f'(?s){flag}^(.+?)(?:{end})')}, 1)"
+            title = f"CASE WHEN regexp_matches({rest}, {_quote(f'(?s){flag}^.+?(?:{end})')}) THEN {piece} ELSE {'NULL' if r.closed else rest} END"
+            if r.trim:
+                title = f"rtrim(trim({title}), '.')" if r.tail else f"trim(trim({title}), {_quote(r.trim)})"
+            steps.append(f"CASE WHEN {begins} AND {rest} <> '' THEN trim({title}) END AS t{i}")
+        ok = f"length(t{i}) BETWEEN 5 AND 350" if r.bounded else f"t{i} <> ''"
+        for e in begun.get(r.group, []) if r.group else []:
+            ok += f" AND t{e} IS NULL"
+        begun.setdefault(r.group, []).append(i)
+        tries.append(f"WHEN {ok} THEN {{0}}")
+    pick = lambda f: " ".join(x.replace("{0}", f(i)) for i, x in enumerate(tries))
+    rule = extract.RULES
+    return f"""WITH b AS (SELECT record_id, {_UNBROKEN.format('raw_citation')} AS c FROM publication_candidates WHERE raw_citation IS NOT NULL), s AS (SELECT record_id, {', '.join(steps)} FROM b)
+SELECT record_id, CASE {pick(lambda i: f't{i}')} ELSE '' END AS title, CASE {pick(lambda i: _quote(rule[i].method))} ELSE 'unresolved' END AS method, CAST(CASE {pick(lambda i: str(rule[i].confidence))} ELSE 0 END AS DOUBLE) AS confidence FROM s"""
+
+
+@query(_titles_sql())
 def title_cascade(t):
     return extract.with_title(t("publication_candidates").where("raw_citation is not null").select("record_id", "raw_citation"), "raw_citation").select("record_id", "title", "method", "confidence")
 
@@ -550,20 +603,50 @@ def block_split(t):
     return extract.page_blocks(t("documents").where("text is not null"), "doc_id", "text")
 
 
-@query()
+_CV_BLOCKS = """c AS (SELECT report_file AS report, report_year AS year, faculty_heading AS who, raw_citation AS text, row_number() OVER (PARTITION BY report_file, faculty_heading ORDER BY record_id) AS n,
+ dense_rank() OVER (PARTITION BY report_file ORDER BY faculty_heading) AS p FROM publication_candidates WHERE report_file IS NOT NULL AND faculty_heading IS NOT NULL AND raw_citation IS NOT NULL),
+heads AS (SELECT DISTINCT report, p, who FROM c), years AS (SELECT report, max(year) AS year FROM c GROUP BY 1),
+blocks AS (SELECT c.report, y.year, CAST(p AS BIGINT) * 100000000 + (n % 4) * 10000000 + n + 10 AS idx, c.text, '' AS style, FALSE AS bold FROM c JOIN years y ON c.report = y.report
+ UNION ALL SELECT h.report, y.year, CAST(p AS BIGINT) * 100000000 + pos, coalesce(line, 'Name: ' || who), style, bold FROM heads h JOIN years y ON h.report = y.report CROSS JOIN (VALUES
+ (0, NULL, 'FacultyName', FALSE), (1, 'Publications:', '', FALSE), (2, 'Refereed Journal Articles', '', TRUE), (10000000, 'Books', '', FALSE), (20000000, 'Conference Presentations', '', FALSE), (20000001, 'Awards', '', TRUE), (30000000, 'SERVICE', '', TRUE)) v(pos, line, style, bold))"""
+
+
+def _cv_sql() -> str:
+    words = f"(?i)\\b10\\.[0-9]{{4,9}}/[^ ]|[“\"][^”\"]{{5,350}}[”\"]|\\b{extract.one_of(extract.SIGNS, chr(92) + 's*')}\\b"
+    names = lambda s: ", ".join(_quote(h) for h in extract.SECTIONS[s])
+    kind = "CASE " + " ".join(f"WHEN regexp_replace(h, '^({extract.one_of(extract.QUALIFIERS)} +)+', '') IN ({', '.join(map(_quote, hs))}) THEN '{k}'" for k, hs in extract.KINDS.items()) + " END"
+    who = "trim(regexp_replace(t, '^Name: ', ''), '|: ')"
+    last = lambda x, a: f"last_value({x} IGNORE NULLS) OVER (PARTITION BY report ORDER BY idx) AS {a}"
+    particles = ", ".join(map(_quote, extract.PARTICLES))
+    return f"""WITH {_CV_BLOCKS}, a AS (SELECT *, trim(text) AS t, regexp_replace(lower(trim(text)), ' *:$', '') AS h FROM blocks),
+k AS (SELECT *, {kind} AS kind, h IN ({names('publications')}) AS pubs, h IN ({names('presentations')}) AS talks, h IN ({names('')}) AS stops, {who} AS who,
+ bold AND t = upper(t) AND regexp_matches(t, '\\p{{L}}') AS major, {_DIGITS.format('t')} AS ys FROM a),
+m AS (SELECT *, kind IS NULL AND NOT pubs AND length(t) >= 18 AND (regexp_matches(t, {_quote(words)}) OR (len(list_filter(ys, lambda y: CAST(y AS INT) <= year + 3)) > 0 AND len(regexp_split_to_array(t, '\\s+')) >= 5)) AS cites,
+ CASE WHEN t LIKE 'Name: _%' AND kind IS NULL AND NOT (pubs OR talks OR stops) AND length(who) BETWEEN 3 AND 90 AND NOT regexp_matches(who, '[;!?0-9]') AND len(regexp_split_to_array(who, '\\s+')) BETWEEN 2 AND 7
+  AND len(list_filter(regexp_split_to_array(who, '\\s+'), lambda w: NOT (replace(lower(w), ',', '') IN ({particles}) OR regexp_matches(w, '^\\p{{Lu}}')))) = 0 THEN regexp_replace(who, '(?i)^(?:dr|prof|professor)\\.?\\s+', '') END AS mine FROM k),
+e AS (SELECT *, CASE WHEN mine IS NOT NULL THEN '' WHEN pubs THEN 'publications' WHEN talks THEN 'presentations' WHEN kind IS NULL AND (major OR (stops AND NOT bold)) THEN '' END AS ev FROM m),
+s AS (SELECT *, {last('ev', 'now')}, {last('CASE WHEN ev IS NOT NULL THEN idx END', 'since')}, {last('mine', 'owner')} FROM e),
+f AS (SELECT *, {last("CASE WHEN ev IS NULL AND stops AND bold AND now = 'publications' THEN idx END", 'soft')}, {last("CASE WHEN kind IS NOT NULL AND now = 'publications' THEN kind END", 'lk')}, {last("CASE WHEN kind IS NOT NULL AND now = 'publications' THEN idx END", 'lki')} FROM s),
+r AS (SELECT report, idx, owner, now AS section, CASE WHEN now = 'presentations' THEN 'presentation' WHEN lki > since THEN lk ELSE 'other' END AS category, t AS text,
+ regexp_matches(t, '(?i)\\b(?:on[\\s-]?going|submitted|working[\\s-]paper|reviewed\\s*-\\s*not[\\s-]accepted)\\b') AS is_ongoing FROM f WHERE cites AND owner IS NOT NULL AND now <> '' AND NOT coalesce(soft > since, FALSE) AND mine IS NULL AND ev IS NULL AND NOT (now = 'presentations' AND bold))
+SELECT report, idx, owner, section, CASE WHEN category = 'other' AND is_ongoing THEN 'article' ELSE category END AS category, text, is_ongoing FROM (
+ SELECT *, row_number() OVER (PARTITION BY report, lower(owner), trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) ORDER BY idx) AS q FROM r) WHERE q = 1"""
+
+
+@query(_cv_sql())
 def cv_fold(t):
-    c = t("publication_candidates").where("faculty_heading is not null and raw_citation is not null")
-    return _cv(c)
-
-
-def _cv(c):
-    """Candidates as CV blocks: an owner line, a section line, then the citations of each owner and report."""
-    base = c.select(F.concat_ws("/", "report_file", "faculty_heading").alias("report"), "report_year", "faculty_heading", "raw_citation", "record_id")
-    head = base.select("report", "report_year", "faculty_heading").distinct()
-    owner = head.select("report", "report_year", F.lit(0).cast("long").alias("idx"), F.concat(F.lit("Name: "), "faculty_heading").alias("text"), F.lit("ReportHeader").alias("style"), F.lit(False).alias("bold"))
-    section = head.select("report", "report_year", F.lit(1).cast("long").alias("idx"), F.lit("Publications").alias("text"), F.lit("Heading2").alias("style"), F.lit(False).alias("bold"))
-    body = base.select("report", "report_year", (F.conv(F.substring("record_id", 1, 12), 16, 10).cast("long") + 2).alias("idx"), F.col("raw_citation").alias("text"), F.lit("").alias("style"), F.lit(False).alias("bold"))
-    return extract.fold_sections(owner.unionByName(section).unionByName(body))
+    """Every report as one CV: owners, sections, kinds, a minor heading inside the talks, a major one that ends all."""
+    c = t("publication_candidates").where("report_file is not null and faculty_heading is not null and raw_citation is not null")
+    n = F.row_number().over(Window.partitionBy("report_file", "faculty_heading").orderBy("record_id"))
+    heads = c.select(F.col("report_file").alias("report"), F.col("faculty_heading").alias("who")).distinct()
+    heads = heads.withColumn("p", F.dense_rank().over(Window.partitionBy("report").orderBy("who")).cast("long") * 100_000_000)
+    years = c.groupBy(F.col("report_file").alias("report")).agg(F.max("report_year").alias("report_year"))
+    body = c.select(F.col("report_file").alias("report"), F.col("faculty_heading").alias("who"), n.alias("n"), F.col("raw_citation").alias("text")).join(heads, ["report", "who"])
+    body = body.select("report", (F.col("p") + F.col("n") % 4 * 10_000_000 + F.col("n") + 10).alias("idx"), "text", F.lit("").alias("style"), F.lit(False).alias("bold"))
+    lines = [(0, None, "FacultyName", False), (1, "Publications:", "", False), (2, "Refereed Journal Articles", "", True), (10_000_000, "Books", "", False), (20_000_000, "Conference Presentations", "", False), (20_000_001, "Awards", "", True), (30_000_000, "SERVICE", "", True)]
+    each = F.explode(F.array(*[F.struct(F.lit(at).cast("long").alias("at"), F.coalesce(F.lit(x).cast("string"), F.concat(F.lit("Name: "), "who")).alias("text"), F.lit(s).alias("style"), F.lit(b).alias("bold")) for at, x, s, b in lines]))
+    top = heads.select("report", "p", each.alias("x")).select("report", (F.col("p") + F.col("x.at")).alias("idx"), "x.text", "x.style", "x.bold")
+    return extract.fold_sections(body.unionByName(top).join(years, "report"), 50_000_000)
 
 
 @query("""WITH b AS (SELECT c_custkey AS k, c_name AS name, c_mktsegment AS segment FROM customer), s AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 7 = 0 THEN upper(c_name) ELSE c_name END AS name, CASE WHEN c_acctbal < 0 THEN 'DEBTOR' ELSE c_mktsegment END AS segment FROM customer)
