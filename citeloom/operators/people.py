@@ -99,17 +99,39 @@ def similar_names(names: DataFrame, name: str, people: DataFrame, person: str, r
     return out(n.join(p, F.col("sa") == F.col("sb"))).unionByName(out(other).where("score > 0"))
 
 
+def reach_keys(key: Column) -> Column:
+    """What two name keys have in common that any similarity over 0 needs: the first initial with two letters in a row of the surname.
+
+    Surnames of a ratio of 0.88 have runs of two letters or more in common, and one of a single letter has only its like.
+    """
+    last = F.element_at(F.split(key, " "), -1)
+    runs = F.when(F.char_length(last) < 2, F.array(last)).otherwise(F.transform(F.sequence(F.lit(1), F.char_length(last) - 1), lambda i: F.substring(last, i, F.lit(2))))
+    return F.when(key != "", F.array_distinct(F.transform(runs, lambda r: F.concat(F.substring(key, 1, 1), r))))
+
+
+def named_candidates(authorships: DataFrame, people: DataFrame) -> DataFrame:
+    """(authorship_id, person_id, s): pairs with the similarity of the name to the person's nearest alias, where over 0.
+
+    Distinct names meet distinct alias keys, so a name that many authorships share is compared once.
+    """
+    alias = people.select("person_id", F.explode("aliases").alias("alias")).withColumn("b", name_key(F.col("alias"))).where("b <> ''")
+    mine = authorships.select("authorship_id", "name").withColumn("a", name_key(F.col("name"))).where("a <> ''")
+    left = mine.groupBy("a").agg(F.min("name").alias("name")).withColumn("k", F.explode(reach_keys(F.col("a"))))
+    right = alias.groupBy("b").agg(F.min("alias").alias("alias")).withColumn("k", F.explode(reach_keys(F.col("b"))))
+    met = left.join(right, "k").where(surnames_in_reach(F.col("a"), F.col("b"))).groupBy("a", "b").agg(F.min("name").alias("name"), F.min("alias").alias("alias"))
+    scored = met.select("a", "b", name_similarity(F.col("name"), F.col("alias")).alias("s")).where("s > 0")
+    of = scored.join(alias.select("person_id", "b"), "b").groupBy("a", "person_id").agg(F.max("s").alias("s"))
+    return mine.select("authorship_id", "a").join(of, "a").select("authorship_id", "person_id", "s")
+
+
 def decide(authorships: DataFrame, people: DataFrame) -> DataFrame:
     """(authorship_id, status, person_id, rule, confidence): who an authorship is, by identifiers, name and institutions.
 
     authorships: authorship_id, name, author_id, orcid, institutions, years; people: person_id, aliases (array), orcid,
-    author_ids, institutions, years. People are met through equal identifiers or an equal first initial of an alias;
-    the best of several must lead by 0.015, else the authorship is ambiguous.
+    author_ids, institutions, years. People are met through equal identifiers or a similar name; the best of several must
+    lead by 0.015, else the authorship is ambiguous.
     """
-    alias = people.select("person_id", F.explode("aliases").alias("alias")).withColumn("i", F.substring(name_key(F.col("alias")), 1, 1))
-    a = authorships.withColumn("i", F.substring(name_key(F.col("name")), 1, 1))
-    reach = surnames_in_reach(name_key(F.col("name")), name_key(F.col("alias")))
-    named = a.select("authorship_id", "name", "i").join(alias, "i").where(reach).select("authorship_id", "person_id", name_similarity(F.col("name"), F.col("alias")).alias("s")).groupBy("authorship_id", "person_id").agg(F.max("s").alias("s")).where("s > 0")
+    named = named_candidates(authorships, people)
     by_id = authorships.where("orcid is not null").select("authorship_id", "orcid").join(people.where("orcid is not null").select("person_id", "orcid"), "orcid").select("authorship_id", "person_id", F.lit(0.0).alias("s"))
     pairs = named.unionByName(by_id).groupBy("authorship_id", "person_id").agg(F.max("s").alias("s"))
     j = pairs.join(authorships, "authorship_id").join(people.select("person_id", F.col("orcid").alias("p_orcid"), F.col("author_ids").alias("p_ids"), F.col("institutions").alias("p_inst"), F.col("years").alias("p_years")), "person_id")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from citeloom.functions import numeric, text
-from citeloom.operators import extract, graph, impact, keep, people, resolve, review, search, topics
+from citeloom.operators import attribution, extract, graph, impact, keep, people, resolve, review, search, topics
 from citeloom.sources import files
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -524,13 +524,48 @@ def citation_authors(t):
     return people.citation_authors(t("publication_candidates").where("raw_citation is not null"), "record_id", "raw_citation", "report_year", t("faculty_registry"), "faculty_id", "faculty_name", "aliases", "report_years")
 
 
+def _people(t):
+    return attribution.registered(t("faculty_registry"), "faculty_id", "faculty_name", "aliases", "report_years", "orcid")
+
+
+def _taught(t):
+    seen = attribution.observed(attribution.stored(t("publication_resolution")), t("publication_candidates"))
+    return attribution.learned(_people(t), seen)
+
+
 @query()
 def attribution_rules(t):
-    names = t("publication_resolution").select(F.explode(text.split_list(F.col("authors"))).alias("name")).distinct()
-    blank = F.array().cast("array<string>")
-    a = names.select(F.col("name").alias("authorship_id"), "name", F.lit(None).cast("string").alias("author_id"), F.lit(None).cast("string").alias("orcid"), blank.alias("institutions"), blank.alias("years"))
-    p = t("faculty_registry").select(F.col("faculty_id").alias("person_id"), F.array_distinct(F.concat(F.array("faculty_name"), text.split_list(F.col("aliases")))).alias("aliases"), text.orcid(F.col("orcid")).alias("orcid"), blank.alias("author_ids"), blank.alias("institutions"), blank.alias("years"))
-    return people.decide(a, p)
+    """Every stored authorship of every article, with the rule that decided whose it is."""
+    _, audit = attribution.attributed(t("cluster_publications"), "source_record_ids", attribution.stored(t("publication_resolution")), t("publication_candidates"), _taught(t))
+    return audit
+
+
+@query()
+def attributions(t):
+    """Whose articles they are, from stored authorships, stored evidence and the reports' owners."""
+    return attribution.attributed(t("cluster_publications"), "source_record_ids", attribution.stored(t("publication_resolution")), t("publication_candidates"), _taught(t))[0]
+
+
+@query("""WITH a AS (SELECT record_id, unnest(CAST(json_extract(openalex_authorships, '$[*]') AS JSON[])) AS a FROM publication_resolution WHERE json_valid(openalex_authorships) AND openalex_authorships LIKE '[%')
+SELECT record_id, count(*) AS n_authors, count(*) FILTER (WHERE coalesce(trim(a ->> '$.author.id'), '') <> '') AS n_ids, count(*) FILTER (WHERE json_array_length(a, '$.institutions') > 0) AS n_placed FROM a GROUP BY 1""")
+def stored_authorships(t):
+    s = attribution.stored(t("publication_resolution"))
+    return s.groupBy("record_id").agg(F.count("*").alias("n_authors"), F.count("author_id").alias("n_ids"), F.count_if(F.size("institutions") > 0).alias("n_placed"))
+
+
+_NAME_KEY = "trim(regexp_replace(lower(strip_accents({0})), '[^a-z0-9]+', ' ', 'g'))"
+
+
+@query("""WITH e AS (SELECT record_id, unnest(CAST(json_extract(institutional_author_evidence, '$[*]') AS JSON[])) AS e FROM publication_candidates WHERE json_valid(institutional_author_evidence) AND institutional_author_evidence LIKE '[%'),
+r AS (SELECT record_id, e ->> '$.faculty_id' AS person_id, coalesce(e ->> '$.basis', 'pre_resolution_citation') AS basis, coalesce(CAST(e ->> '$.confidence' AS DOUBLE), 0) AS confidence FROM e)
+SELECT record_id, person_id, basis, confidence FROM (SELECT *, row_number() OVER (PARTITION BY record_id, person_id ORDER BY confidence DESC, basis) AS q FROM r WHERE person_id IS NOT NULL) WHERE q = 1""")
+def stored_evidence(t):
+    return attribution.local_evidence(t("publication_candidates"))
+
+
+@query()
+def owner_evidence(t):
+    return attribution.owners(t("publication_candidates"), _people(t))
 
 
 @query("""WITH l AS (SELECT record_id AS work_id, faculty_name AS person_id, CASE WHEN attribution_basis = 'report_owner' THEN 'owner' ELSE attribution_basis END AS basis, max(attribution_confidence) AS confidence FROM article_faculty_attributions WHERE attribution_basis <> 'openalex_authorship' GROUP BY 1, 2, 3),

@@ -3,7 +3,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from citeloom.operators import extract, graph, impact, keep, people, resolve, review, search, topics
+from citeloom.operators import attribution, extract, graph, impact, keep, people, resolve, review, search, topics
 from citeloom.plans import catalogue
 
 
@@ -127,6 +127,33 @@ def test_people(spark):
     assert rows(people.merge_evidence(local, ext.limit(0), ext.limit(0)), "person_id") == [("f1",)]
 
 
+def test_attribution_end_to_end(spark):
+    """Every rule decides somewhere, spellings are learned, and a shared name is ambiguous."""
+    import json
+
+    author = lambda name, id=None, orcid=None, inst=(): {"author": {"id": id, "display_name": name, "orcid": orcid}, "institutions": [{"id": i} for i in inst]}
+    lists = {
+        "r1": [author("Ada Byron", "A1", None, ["I1"]), author("Bo Ray")], "r2": [author("Ada Byron", "A1", None, ["I1"])], "r3": [author("Ada Bryon", "A1")], "r4": [author("Ada Byron", None, None, ["I1"])], "r5": [author("Ada Byron", "A1")],
+        "r6": [author("Countess Lovelace", None, "https://orcid.org/0000-0002-1825-0097")], "r7": [author("J. Smith")], "r8": [author("Ada Byron", None, "0000-0001-5109-3700")], "r9": "no json",
+    }
+    res = spark.createDataFrame([(k, v if isinstance(v, str) else json.dumps(v)) for k, v in lists.items()] + [("r10", None)], "record_id string, openalex_authorships string")
+    cand = spark.createDataFrame([(k, 2001, "Cy Fox" if k == "r9" else None, json.dumps([{"faculty_id": "f4", "basis": "exact_heading", "confidence": 0.5}]) if k == "r9" else None) for k in lists], "record_id string, report_year int, faculty_heading string, institutional_author_evidence string")
+    roster = spark.createDataFrame([("f1", "Ada Byron", "A. Byron;", "2001", "0000-0002-1825-0097"), ("f2", "Jane Smith", None, None, None), ("f3", "John Smith", "", "", None), ("f4", "Cy Fox", None, "", None)], "id string, n string, a string, y string, o string")
+    people_ = attribution.registered(roster, "id", "n", "a", "y", "o")
+    stored = attribution.stored(res)
+    known = attribution.learned(people_, attribution.observed(stored, cand))
+    ada = known.where("person_id = 'f1'").first()
+    assert "A1" in ada.author_ids and ada.institutions == ["I1"]
+    articles = spark.createDataFrame([(k, k) for k in lists] + [("none", None)], "record_id string, s string")
+    found, audit = attribution.attributed(articles, "s", stored, cand, known)
+    rule = {(r.work_id, r.name): (r.status, r.rule) for r in audit.collect()}
+    assert rule[("r6", "Countess Lovelace")] == ("matched", "curated_orcid") and rule[("r7", "J. Smith")][0] == "ambiguous" and rule[("r8", "Ada Byron")][0] == "unmatched" and rule[("r1", "Bo Ray")][0] == "unmatched"
+    assert rule[("r2", "Ada Byron")] == ("matched", "name+id+institution") and rule[("r4", "Ada Byron")] == ("matched", "name+institution") and rule[("r5", "Ada Byron")] == ("matched", "name+id")
+    got = {(r.work_id, r.person_id): (r.basis, r.confidence) for r in found.collect()}
+    assert got[("r9", "f4")] == ("owner", 0.9) and got[("r6", "f1")] == ("authorship", 0.999) and ("r7", "f2") not in got
+    assert {r.person_id: r.n_works for r in attribution.profiles(known, found).collect()} == {"f1": 5 + (("r3", "f1") in got), "f2": 0, "f3": 0, "f4": 1}
+
+
 def test_name_rules_meet_unlike_surnames(spark, tmp_path):
     spark.createDataFrame([("Josephine C. Roubuvold",), ("Ada Byron",), ("J. Smith",), (None,)], "faculty_name string").write.parquet(f"{tmp_path}/article_faculty_attributions.parquet")
     spark.createDataFrame([("f1", "Josephine C. Roubuvlod"), ("f2", "Ada Byron"), ("f3", "Bo Byron"), ("f4", "Jane Smith"), ("f5", "Kate Roubuvold"), ("f6", "Jane Smits")], "faculty_id string, faculty_name string").write.parquet(f"{tmp_path}/faculty_registry.parquet")
