@@ -18,11 +18,12 @@ from citeloom.llm import _util
 from citeloom.llm.textforms import with_same_form
 
 #: The evidence a pair starts from, as log odds: prior, title, subtitle, authors and year.
-PRIOR, TITLE_EQUAL, TITLE_NEAR = -3.0, 5.6, 4.0
+PRIOR, TITLE_EQUAL, TITLE_NEAR, TITLE_OTHER, TITLE_SHORT = -3.0, 5.6, 4.0, -3.5, 1.5
 SUB_THERE, SUB_AWAY = 2.0, -1.0
 AUTHORS_THERE, AUTHORS_SOME, AUTHORS_AWAY = 2.5, 1.5, -2.5
 YEAR_NEAR, YEAR_FAR = 1.0, -1.5
-MIN_WORDS, MAX_WORDS = 4, 24
+#: Shorter titles are no evidence by themselves: they are met by their exact words and need authors and a year.
+MIN_WORDS = 4
 
 
 def flat(col: Column) -> Column:
@@ -44,20 +45,24 @@ def left_out(ws: Column) -> Column:
     return F.array_distinct(F.concat(F.array(total), F.transform(each, lambda x: total - x)))
 
 
-def segments(text: Column) -> Column:
+def segments(text: Column, longest: int, short: bool = False) -> Column:
     """The stretches of a citation that may be a main title: between sentence marks, and up to each comma inside.
 
-    Stretches with fewer than MIN_WORDS words of several letters, or mostly of initials and numbers, are none.
+    Stretches mostly of initials and numbers are none. longest: the words of the longest title there is, beyond which
+    no stretch can match. short: only the stretches of fewer than MIN_WORDS words, instead of only the others.
     """
     base = F.split(text, "[.:;?“”\"«»()\\[\\]]+|(?<=\\s)[-–—](?=\\s)|,[”\"]")
-    wordy = F.filter(base, lambda s: s.rlike("(\\p{L}{2,}[^\\p{L}]+){%d}\\p{L}{2,}" % (MIN_WORDS - 1)))
-    commas = F.flatten(F.transform(wordy, lambda s: F.transform(F.sequence(F.lit(1), F.least(F.size(F.split(s, ",")), F.lit(12))), lambda i: F.array_join(F.slice(F.split(s, ","), F.lit(1), i), " "))))
+    if not short:
+        base = F.filter(base, lambda s: s.rlike("([\\p{L}\\p{N}]+[^\\p{L}\\p{N}]+){%d}[\\p{L}\\p{N}]" % (MIN_WORDS - 1)) & s.rlike("\\p{L}{2,}"))
+    # a stretch up to the n-th comma has n words at least
+    commas = F.flatten(F.transform(base, lambda s: F.transform(F.sequence(F.lit(1), F.least(F.size(F.split(s, ",")), F.lit(longest + 1))), lambda i: F.array_join(F.slice(F.split(s, ","), F.lit(1), i), " "))))
     lists = F.transform(commas, words)
-    whole = lambda w: (F.size(w) >= MIN_WORDS) & (F.size(w) <= MAX_WORDS) & (F.size(F.filter(w, lambda x: x.rlike("^(.|\\d+)$"))) * 3 <= F.size(w))
+    fits = (lambda w: F.size(w).between(1, MIN_WORDS - 1)) if short else (lambda w: F.size(w).between(MIN_WORDS, longest + 1))
+    whole = lambda w: fits(w) & (F.size(F.filter(w, lambda x: x.rlike("^(.|\\d+)$"))) * 3 <= F.size(w))
     return F.array_distinct(F.transform(F.filter(lists, whole), lambda w: F.array_join(w, " ")))
 
 
-def mentions(candidates: DataFrame, matched: DataFrame) -> tuple[DataFrame, DataFrame]:
+def mentions(candidates: DataFrame, matched: DataFrame, longest: int, short: bool) -> tuple[DataFrame, DataFrame]:
     """(record_id, c, slot) of every candidate without a matched row, and (c, segs, said, years) of every distinct citation c.
 
     Rows that were extracted twice, or differ in formatting only, share one c, so copies are matched once. Texts are
@@ -69,8 +74,9 @@ def mentions(candidates: DataFrame, matched: DataFrame) -> tuple[DataFrame, Data
     rows = _util.cut(folded.select("record_id", "c", "slot").join(matched.select("record_id").distinct(), "record_id", "left_anti"))
     distinct = folded.select("c", "t").join(rows.select("c").distinct(), "c", "left_semi").groupBy("c").agg(F.min("t").alias("t"))
     years = F.transform(F.regexp_extract_all("t", F.lit("(?<!\\d)((?:19|20)\\d\\d)(?!\\d)"), F.lit(1)), lambda y: y.cast("int"))
-    cites = distinct.select("c", segments(F.col("t")).alias("segs"), F.array_distinct(words(F.col("t"))).alias("said"), F.array_distinct(years).alias("years"))
-    return rows, _util.cut(cites).where("size(segs) > 0")
+    brief = segments(F.col("t"), longest, True) if short else F.array().cast("array<string>")
+    cites = distinct.select("c", segments(F.col("t"), longest).alias("segs"), brief.alias("brief"), F.array_distinct(words(F.col("t"))).alias("said"), F.array_distinct(years).alias("years"))
+    return rows, _util.cut(cites).where("size(segs) > 0 or size(brief) > 0")
 
 
 def catalogue(matched: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -91,11 +97,14 @@ def catalogue(matched: DataFrame) -> tuple[DataFrame, DataFrame]:
     return whole.select("record_id", "w"), works
 
 
-def evidence(cites: DataFrame, works: DataFrame) -> DataFrame:
+def evidence(cites: DataFrame, works: DataFrame, short: bool) -> DataFrame:
     """(c, w, odds): candidate pairs that share a main title up to one word, with their own log odds."""
     ck = cites.select("c", F.explode(F.array_distinct(F.flatten(F.transform("segs", lambda s: left_out(F.split(s, " ")))))).alias("k"))
     wk = works.where(f"size(split(main, ' ')) >= {MIN_WORDS}").select("w", F.explode(left_out(F.split("main", " "))).alias("k"))
     pairs = ck.join(wk, "k").select("c", "w").distinct()
+    if short:
+        brief = cites.select("c", F.explode("brief").alias("main")).join(works.where(f"size(split(main, ' ')) < {MIN_WORDS}").select("w", "main"), "main")
+        pairs = pairs.unionByName(brief.select("c", "w").distinct())
     p = pairs.join(works, "w").join(cites.withColumnRenamed("years", "cited"), "c")
     # one changed word must be a misspelling or an abbreviation, one added word an article
     article = lambda x: F.regexp_replace(x, "^(the|a|an|on) | (the|a|an)(?= )", "")
@@ -107,27 +116,28 @@ def evidence(cites: DataFrame, works: DataFrame) -> DataFrame:
         return (F.size(F.split(s, " ")) == F.size(mw)) & (F.size(pairs) == 1) & F.exists(pairs, lambda x: short(x["a"], x["b"]))
 
     like = F.array_max(F.transform("segs", lambda s: F.when(s == F.col("main"), 2).when(F.levenshtein(s, F.col("main"), 2) >= 0, 1).when(article(s) == article(F.col("main")), 1).when(abbreviates(s), 1).otherwise(0)))
-    p = p.withColumn("like", like).where("like > 0")
+    p = p.withColumn("like", F.when(F.size(mw) < MIN_WORDS, 3).otherwise(like))
     subw = F.array_remove(F.split("sub", " "), "")
     there = F.size(F.array_intersect(subw, "said")) / F.greatest(F.size(subw), F.lit(1))
     au = F.filter("authors", lambda a: a != "")
     named = F.size(F.filter(au, lambda a: F.arrays_overlap(F.split(a, " "), F.col("said")))) / F.greatest(F.size(au), F.lit(1))
     gap = F.array_min(F.flatten(F.transform("years", lambda y: F.transform("cited", lambda z: F.abs(y - z)))))
-    odds = F.lit(PRIOR) + F.when(F.col("like") == 2, TITLE_EQUAL).otherwise(TITLE_NEAR)
+    odds = F.lit(PRIOR) + F.when(F.col("like") == 3, TITLE_SHORT).when(F.col("like") == 2, TITLE_EQUAL).when(F.col("like") == 1, TITLE_NEAR).otherwise(TITLE_OTHER)
     odds += F.when(F.size(subw) == 0, 0.0).when(there >= 0.6, SUB_THERE).otherwise(SUB_AWAY)
     odds += F.when(F.size(au) == 0, 0.0).when(named >= 0.5, AUTHORS_THERE).when(named > 0, AUTHORS_SOME).otherwise(AUTHORS_AWAY)
     odds += F.when(gap.isNull(), 0.0).when(gap <= 1, YEAR_NEAR).when(gap >= 3, YEAR_FAR).otherwise(0.0)
-    return p.select("c", "w", odds.alias("odds"))
+    return p.select("c", "w", odds.alias("odds"), (F.col("like") > 0).alias("alike"))
 
 
 def mentioned(pairs: DataFrame) -> DataFrame:
-    """(c, slot, w, odds) pairs with m: the smallest citation of the list that shares a work with c."""
-    shared = pairs.groupBy("slot", "w").agg(F.min("c").alias("lo"))
-    least = pairs.join(shared, ["slot", "w"]).groupBy("slot", "c").agg(F.min("lo").alias("m"))
-    return pairs.join(least, ["slot", "c"])
+    """(c, slot, w, odds, alike) pairs with m: the smallest citation of the list that shares a work of an alike title with c."""
+    alike = pairs.where("alike")
+    shared = alike.groupBy("slot", "w").agg(F.min("c").alias("lo"))
+    least = alike.join(shared, ["slot", "w"]).groupBy("slot", "c").agg(F.min("lo").alias("m"))
+    return pairs.join(least, ["slot", "c"], "left").withColumn("m", F.coalesce("m", "c"))
 
 
-def propagate(pairs: DataFrame, rounds: int = 20, tolerance: float = 1e-3) -> DataFrame:
+def propagate(pairs: DataFrame, rounds: int = 100, tolerance: float = 1e-3) -> DataFrame:
     """(c, slot, w, told): loopy belief propagation over (c, slot, w, odds) pairs; told is what the factors say to a pair.
 
     Each pair is a yes/no variable between two at-most-one factors: over the works of its candidate (c), and over the
@@ -150,20 +160,25 @@ def propagate(pairs: DataFrame, rounds: int = 20, tolerance: float = 1e-3) -> Da
         live = new.drop("moved")
         if top is None or top < tolerance:
             break
+    else:
+        raise RuntimeError(f"messages did not settle in {rounds} rounds")
     return sure.unionByName(live.select("c", "slot", "w", (F.col("from_c") + F.col("from_w")).alias("told")))
 
 
 def matches(candidates: DataFrame, resolution: DataFrame) -> DataFrame:
     """(candidate_record_id, resolution_record_id, confidence) for candidates without a matched row of their own.
 
-    Null titles, citations, authors or years simply give no evidence; candidates without any stretch of MIN_WORDS words
-    match nothing; repeated rows give their pairs once. Every matched row of the work is given.
+    Null titles, citations, authors or years simply give no evidence; repeated rows give their pairs once. Titles that
+    differ by a word that is no misspelling come out too, with a confidence far below one half. Every matched row of the work is given.
     """
     matched = resolution.where("match_status = 'matched'")
-    rows, cites = mentions(candidates, matched)
     held, works = catalogue(matched)
     works = _util.cut(works)
-    odds = _util.cut(evidence(cites, works))
+    size = F.size(F.split("main", " "))
+    longest, shortest = works.agg(F.max(size), F.min(size)).first()
+    short = shortest is not None and shortest < MIN_WORDS
+    rows, cites = mentions(candidates, matched, longest or 0, short)
+    odds = _util.cut(evidence(cites, works, short))
     pairs = _util.cut(mentioned(rows.select("c", "slot").distinct().join(odds, "c")))
     told = propagate(pairs.groupBy(F.col("m").alias("c"), "slot", "w").agg(F.max("odds").alias("odds"))).withColumnRenamed("c", "m")
     marginal = pairs.join(told, ["m", "slot", "w"]).select("c", "slot", "w", (1 / (1 + F.exp(-(F.col("odds") + F.col("told"))))).alias("confidence"))

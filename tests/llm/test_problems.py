@@ -305,6 +305,20 @@ def test_matches(spark):
     assert linkage.matches(df.limit(0), res).count() == 0 and linkage.matches(df, res.limit(0)).count() == 0
 
 
+def test_messages_settle_between_rivals(spark, monkeypatch):
+    """Two works of one main title differ by their subtitle; each alone would pass, together only the cited one does."""
+    cat = [("m1", "matched", "Urban Heat among Small Towns of Arden: A First Look", "Ann Lee", 2001), ("m2", "matched", "Urban Heat among Small Towns of Arden: Lessons Learned", "Ann Lee", 2001), ("m3", "matched", "Shade: Notes", "Cy Fox", 1999), ("m4", "matched", "Urban Heat among Small Towns of Calder: A First Look", "Ann Lee", 2001)]
+    res = spark.createDataFrame(cat, "record_id string, match_status string, canonical_title string, authors string, publication_year int")
+    cand = [("c1", None, 'Lee, A. (2001). Urban Heat among Small Towns of Arden: Lessons Learned. Journal.', "x"), ("c2", "Shade: Notes", "Fox, C. (1999). Shade: Notes. Press.", "x"), ("c3", "Shade", "Ray, B. (2011). Shade. Press.", "x"), ("c4", "Fine, a, b, c, d, e, f, g, h, i, j, k, l, m, n, o, p, Urban Heat among Small Towns of Arden", None, "y")]
+    df = spark.createDataFrame(cand, "record_id string, title string, raw_citation string, faculty_heading string").withColumn("report_year", F.lit(2002))
+    run = lambda: {(r[0], r[1]): r[2] for r in rows(linkage.matches(df, res), "candidate_record_id", "resolution_record_id", "confidence")}
+    got = run()
+    assert {k for k, v in got.items() if v >= 0.5} == {("c1", "m2"), ("c2", "m3")}
+    assert 0 < got[("c1", "m4")] < 0.5 and 0 < got[("c1", "m1")] < 0.5
+    monkeypatch.setattr(linkage, "propagate", lambda p: p.select("c", "slot", "w", F.lit(0.0).alias("told")))
+    assert run()[("c1", "m1")] >= 0.5
+
+
 def test_propagation_prefers_the_free_partner(spark):
     p = spark.createDataFrame([(1, 0, 10, 4.0), (1, 0, 20, 3.0), (2, 0, 10, 3.9)], "c long, slot int, w long, odds double")
     told = {(r.c, r.w): r.told for r in linkage.propagate(p).collect()}
