@@ -18,7 +18,7 @@ from citeloom.llm import _util
 from citeloom.llm.textforms import with_same_form
 
 #: The evidence a pair starts from, as log odds: prior, title, subtitle, authors and year.
-PRIOR, TITLE_EQUAL, TITLE_NEAR, TITLE_OTHER, TITLE_SHORT = -3.0, 5.6, 4.0, -3.5, 1.5
+PRIOR, TITLE_EQUAL, TITLE_NEAR, TITLE_SHORT = -3.0, 5.6, 4.0, 1.5
 SUB_THERE, SUB_AWAY = 2.0, -1.0
 AUTHORS_THERE, AUTHORS_SOME, AUTHORS_AWAY = 2.5, 1.5, -2.5
 YEAR_NEAR, YEAR_FAR = 1.0, -1.5
@@ -116,25 +116,24 @@ def evidence(cites: DataFrame, works: DataFrame, short: bool) -> DataFrame:
         return (F.size(F.split(s, " ")) == F.size(mw)) & (F.size(pairs) == 1) & F.exists(pairs, lambda x: short(x["a"], x["b"]))
 
     like = F.array_max(F.transform("segs", lambda s: F.when(s == F.col("main"), 2).when(F.levenshtein(s, F.col("main"), 2) >= 0, 1).when(article(s) == article(F.col("main")), 1).when(abbreviates(s), 1).otherwise(0)))
-    p = p.withColumn("like", F.when(F.size(mw) < MIN_WORDS, 3).otherwise(like))
+    p = p.withColumn("like", F.when(F.size(mw) < MIN_WORDS, 3).otherwise(like)).where("like > 0")
     subw = F.array_remove(F.split("sub", " "), "")
     there = F.size(F.array_intersect(subw, "said")) / F.greatest(F.size(subw), F.lit(1))
     au = F.filter("authors", lambda a: a != "")
     named = F.size(F.filter(au, lambda a: F.arrays_overlap(F.split(a, " "), F.col("said")))) / F.greatest(F.size(au), F.lit(1))
     gap = F.array_min(F.flatten(F.transform("years", lambda y: F.transform("cited", lambda z: F.abs(y - z)))))
-    odds = F.lit(PRIOR) + F.when(F.col("like") == 3, TITLE_SHORT).when(F.col("like") == 2, TITLE_EQUAL).when(F.col("like") == 1, TITLE_NEAR).otherwise(TITLE_OTHER)
+    odds = F.lit(PRIOR) + F.when(F.col("like") == 3, TITLE_SHORT).when(F.col("like") == 2, TITLE_EQUAL).otherwise(TITLE_NEAR)
     odds += F.when(F.size(subw) == 0, 0.0).when(there >= 0.6, SUB_THERE).otherwise(SUB_AWAY)
     odds += F.when(F.size(au) == 0, 0.0).when(named >= 0.5, AUTHORS_THERE).when(named > 0, AUTHORS_SOME).otherwise(AUTHORS_AWAY)
     odds += F.when(gap.isNull(), 0.0).when(gap <= 1, YEAR_NEAR).when(gap >= 3, YEAR_FAR).otherwise(0.0)
-    return p.select("c", "w", odds.alias("odds"), (F.col("like") > 0).alias("alike"))
+    return p.select("c", "w", odds.alias("odds"))
 
 
 def mentioned(pairs: DataFrame) -> DataFrame:
-    """(c, slot, w, odds, alike) pairs with m: the smallest citation of the list that shares a work of an alike title with c."""
-    alike = pairs.where("alike")
-    shared = alike.groupBy("slot", "w").agg(F.min("c").alias("lo"))
-    least = alike.join(shared, ["slot", "w"]).groupBy("slot", "c").agg(F.min("lo").alias("m"))
-    return pairs.join(least, ["slot", "c"], "left").withColumn("m", F.coalesce("m", "c"))
+    """(c, slot, w, odds) pairs with m: the smallest citation of the list that shares a work with c."""
+    shared = pairs.groupBy("slot", "w").agg(F.min("c").alias("lo"))
+    least = pairs.join(shared, ["slot", "w"]).groupBy("slot", "c").agg(F.min("lo").alias("m"))
+    return pairs.join(least, ["slot", "c"])
 
 
 def propagate(pairs: DataFrame, rounds: int = 100, tolerance: float = 1e-3) -> DataFrame:
@@ -169,7 +168,8 @@ def matches(candidates: DataFrame, resolution: DataFrame) -> DataFrame:
     """(candidate_record_id, resolution_record_id, confidence) for candidates without a matched row of their own.
 
     Null titles, citations, authors or years simply give no evidence; repeated rows give their pairs once. Titles that
-    differ by a word that is no misspelling come out too, with a confidence far below one half. Every matched row of the work is given.
+    differ by a word that is no misspelling are other works; works that only rivals of a citation are come out with a
+    confidence below one half. Every matched row of the work is given.
     """
     matched = resolution.where("match_status = 'matched'")
     held, works = catalogue(matched)
