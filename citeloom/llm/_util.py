@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
-import uuid
-
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citeloom.lineage import cut, shared_dir, sweep
+
+__all__ = ["BROADCAST_BYTES", "bounded", "by_value", "cut", "key128", "share", "shared_dir", "sweep"]
+
 #: The most bytes a table may have, by its own count, to be broadcast.
 BROADCAST_BYTES = 32 << 20
 
@@ -19,29 +19,11 @@ def by_value(module) -> None:
     cloudpickle.register_pickle_by_value(module)
 
 
-@functools.cache
-def _own_dir() -> str:
-    return tempfile.mkdtemp(prefix="citeloom-")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where the session names none (tests)."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _own_dir()
-
-
 def share(spark: SparkSession, value):
     """A broadcast of an object together with the code of its class; pickle.loads(share.value) gives it back."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write df as a table in the shared folder and read it again: lineage ends here and lost executors cost nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/citeloom/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def bounded(df: DataFrame, row_bytes: int) -> DataFrame:
     """Broadcast df only if its counted rows times row_bytes stay below BROADCAST_BYTES; else leave the join to the planner."""
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df

@@ -58,9 +58,12 @@ def tokens(name: str) -> list[str]:
     raw = re.findall(r"[^\W\d_]+", name)
     letters = "".join(raw)
     shout = letters.isupper() and any(len(w) > 3 for w in raw) and not any(len(w) == 1 for w in raw[1:-1] + raw[:1])
+    family = re.match(r"\W*[^\W\d_]{2,3}\s*,", name) is not None  # LI, Mei: a short word before a comma is no pair of initials
     out = []
-    for w in raw:
-        if 2 <= len(w) <= 3 and w.isupper() and bare(w) not in PARTICLES and not shout:
+    for i, w in enumerate(raw):
+        if i == 0 and family:
+            out.append(bare(w))
+        elif 2 <= len(w) <= 3 and w.isupper() and bare(w) not in PARTICLES and not shout:
             out += [bare(c) for c in w]
         else:
             out.append(bare(w))
@@ -206,15 +209,18 @@ def _people(forms: DataFrame) -> DataFrame:
             yield pd.DataFrame({"pid": pdf["pid"], "main": pdf["main"], "given": [x[0] for x in g], "family": [x[1] for x in g]})
 
     p = forms.mapInPandas(scan, "pid string, main boolean, given array<string>, family array<string>").where("size(family) > 0")
-    return p.groupBy("pid").agg(F.array_distinct(F.flatten(F.collect_list(F.when(F.col("main"), F.col("family"))))).alias("keys"), F.array_sort(F.collect_set(F.struct("given", "family"))).alias("forms"))
+    return p.groupBy("pid").agg(F.array_distinct(F.flatten(F.collect_list("family"))).alias("keys"), F.array_sort(F.collect_set(F.struct("given", "family"))).alias("forms"))
 
 
 def _candidates(names: DataFrame, people: DataFrame) -> DataFrame:
-    """(name, pid): names with a word that is at most one edit from a family word of the person, by the symmetric-delete index."""
-    index = people.select("pid", F.explode("keys").alias("key")).where("char_length(key) >= 3")
+    """(name, pid): names with a word that is at most one edit from a family word of the person, by the symmetric-delete index.
+
+    The family words of all forms are indexed. Words of fewer than four letters have no edits and are met as they are.
+    """
+    index = people.select("pid", F.explode("keys").alias("key")).where("char_length(key) >= 2")
     index = index.select("pid", "key", F.explode(F.when(F.char_length("key") >= 4, deletes(F.col("key"))).otherwise(F.array("key"))).alias("d"))
     plain = F.regexp_replace(unaccented(F.col("name")), "['’`´]+", "")
-    words = names.select("name", F.explode(F.array_distinct(F.split(plain, "[^\\p{L}]+"))).alias("w")).where("char_length(w) >= 3")
+    words = names.select("name", F.explode(F.array_distinct(F.split(plain, "[^\\p{L}]+"))).alias("w")).where("char_length(w) >= 2")
     # the neighbourhood is formed once per distinct word, however many names hold it
     reach = words.select("w").distinct().select("w", F.explode(F.when(F.char_length("w") >= 4, deletes(F.col("w"))).otherwise(F.array("w"))).alias("d"))
     near_words = reach.join(index, "d").select("w", "pid").distinct()
@@ -265,6 +271,8 @@ def people_of(roster: DataFrame, id: str, name: str, aliases: str, given_bound:
         label = new.select("pid", "person")
         if not new.where("person <> was").limit(1).count():
             break
+    else:
+        raise RuntimeError("rows of the same person did not settle in 30 rounds")
     people = rows.join(label, "pid").groupBy("person").agg(F.array_distinct(F.flatten(F.collect_list("keys"))).alias("keys"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("forms")))).alias("forms")).withColumnRenamed("person", "pid")
     return label, _util.cut(people), known
 

@@ -18,24 +18,34 @@ from citeloom.llm import _util
 ALIKE = (
     "АA ВB ЕE ЅS ІI ЈJ КK МM НH ОO РP СC ТT УY ХX ҺH ԚQ ԜW аa еe оo рp сc уy хx ѕs іi јj һh ԁd ԛq ԝw ӏl гr "
     "ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX οo νv ρp ϲc ϳj αa ιi κk υu χx γy "
-    "ՕO օo ոn սu հh Տ S ցg զq"
+    "ՕO օo ոn սu հh Տ S ցg զq "
+    "ᎪA ᏴB ᏟC ᎠD ᎬE ᎻH ᎫJ ᏦK ᏞL ᎷM ᏢP ᏒR ᏚS ᎢT ᏙV ᎳW ᏃZ ꓮA ꓐB ꓚC ꓓD ꓰE ꓝF ꓖG ꓧH ꓲI ꓙJ ꓗK ꓡL ꓟM ꓠN ꓳO ꓑP ꓣR ꓢS ꓔT ꓴU ꓦV ꓪW ꓫX ꓬY ꓜZ"
 ).replace(" S", "S").split()
 # Of these, the ones that stand in a Latin word only beside Latin letters (alone they are ordinary symbols).
 BESIDE_LATIN = "αικυχγг"
 # Latin letters and marks drawn like an ordinary one.
 ALIKE_PLAIN = "ɑa ɡg ⅼl ꞉: ‐- ‑- −- ﹣- ․. ⁄/ ∕/ ʹ' ʼ' ＇' ‚, ∶:".split()
 # Invisible characters and spaces, as regular expression ranges.
-INVISIBLE = "\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f-\\x84\\x86-\\x9f\\xad͏؜ᅟᅠ឴឵᠋-᠎​-‏‪-‮⁠-⁯ㅤ︀-️﻿ﾠ"
+INVISIBLE = "\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f-\\x84\\x86-\\x9f\\xad͏؜ᅟᅠ឴឵᠋-᠎​-‏‪-‮⁠-⁯ㅤ︀-️﻿ﾠ\\x{fff9}-\\x{fffb}\\x{1d173}-\\x{1d17a}\\x{e0000}-\\x{e0fff}"
 SPACES = "                 　"
 
 
 def _styled() -> dict[str, str]:
-    """Wide, narrow and mathematical forms and letter ligatures with what they stand for, from the Unicode database."""
+    """Wide, narrow, mathematical, circled, raised and lowered forms, roman numerals and letter ligatures with what they stand for, from the Unicode database.
+
+    Raised 1 to 3 of Latin-1 are ordinary characters and stay. Forms of anything but ASCII letters and digits stay too,
+    except wide and narrow ones.
+    """
     out = {}
-    for cp in [*range(0x2100, 0x2150), *range(0xFB00, 0xFB07), *range(0xFF01, 0xFFEF), *range(0x1D400, 0x1D800)]:
-        kind = unicodedata.decomposition(chr(cp)).partition(" ")[0]
-        if kind in ("<wide>", "<narrow>", "<font>") or 0xFB00 <= cp <= 0xFB06:
-            out[chr(cp)] = unicodedata.normalize("NFKC", chr(cp))
+    blocks = [*range(0x1D2C, 0x1D6B), *range(0x2070, 0x20A0), *range(0x2100, 0x2150), *range(0x2160, 0x2180), *range(0x2460, 0x2500), *range(0xFB00, 0xFB07), *range(0xFF01, 0xFFEF), *range(0x1D400, 0x1D800), *range(0x1F110, 0x1F16A)]
+    for cp in blocks:
+        kind, plain_ = unicodedata.decomposition(chr(cp)).partition(" ")[0], unicodedata.normalize("NFKC", chr(cp))
+        ordinary = plain_.isascii() and plain_.isalnum()
+        roman = 0x2160 <= cp < 0x2180 and ordinary
+        if kind in ("<wide>", "<narrow>", "<font>") or 0xFB00 <= cp <= 0xFB06 or roman or (kind in ("<circle>", "<super>", "<sub>", "<square>") and ordinary and not 0x2100 <= cp < 0x2150):
+            out[chr(cp)] = plain_
+    # letters and marks of their own that are an ASCII one by definition
+    out |= {chr(cp): a for cp in (0x037E, 0x1FEF, 0x212A) for a in [unicodedata.normalize("NFC", chr(cp))]}
     return out
 
 
@@ -54,7 +64,7 @@ STYLED_ONE = {a: b for a, b in STYLED.items() if len(b) == 1} | {p[0]: p[1] for
 STYLED_MORE = {a: b for a, b in STYLED.items() if len(b) > 1}
 ALIKE_MAP = {p[0]: p[1] for p in ALIKE}
 ALIKE_ALONE = {a: b for a, b in ALIKE_MAP.items() if a not in BESIDE_LATIN}
-FOREIGN = "\\p{IsCyrillic}\\p{IsGreek}\\p{IsArmenian}"
+FOREIGN = "\\p{IsCyrillic}\\p{IsGreek}\\p{IsArmenian}\\p{IsCherokee}\\p{IsLisu}"
 
 
 def _translate(col: Column, pairs: dict[str, str]) -> Column:
