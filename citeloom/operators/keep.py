@@ -75,7 +75,7 @@ def unseen(rows: DataFrame, seen: DataFrame, key: str) -> DataFrame:
 
 def with_runner_up(df: DataFrame, keys: list[str], score: str, tie: str) -> DataFrame:
     """The best row of each key with the runner-up's score (0 if alone)."""
-    w = Window.partitionBy(*keys).orderBy(F.desc(score), F.asc(tie))
+    w = Window.partitionBy(*keys).orderBy(F.desc(score), F.asc_nulls_last(tie))
     both = df.withColumn("__r", F.row_number().over(w)).withColumn("runner_up", F.coalesce(F.lead(score).over(w), F.lit(0.0)))
     return both.where("__r = 1").drop("__r")
 

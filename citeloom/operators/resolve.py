@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from citeloom.functions.similarity import containment, jaccard, sequence_ratio, token_set, year_adjusted
 from citeloom.functions.text import normalized_title
-from citeloom.operators.keep import with_runner_up
+from citeloom.operators.keep import top_per_key, with_runner_up
 
 
 #: What a score has beside the words' part at most: half a sequence ratio of 1, a near year, and the rounding to 4 digits.
@@ -80,6 +80,62 @@ def scored(queries: DataFrame, catalogue: DataFrame, query_id: str, query: str,
     return rows.select("query_id", "id", year_adjusted(F.col("s"), F.col("qy"), F.col("y")).alias("score"))
 
 
+def nearest(queries: DataFrame, catalogue: DataFrame, scale: float, digits: int, least: float) -> DataFrame:
+    """(query_id, id, score): for each row of queries (query_id, k, x), two pairs that stand for all with catalogue rows (id, k, x) of its k.
+
+    The score is 1 - distance of the two x / scale, rounded half-up. Of the pairs of a row come out the first, ties to the
+    smaller id, and one with the runner-up's score and the first's id, so best() and unambiguous() of them are those of all
+    pairs, also where a query_id has several rows. A first under `least` may be another one of its ties. Rows without k or
+    x have no pairs.
+
+    Distinct x of each k are sorted, so the pairs are never formed. The two nearest on either side of an x have the two
+    highest scores, as the score falls with the distance; ids are sought in the width of one rounded score beyond them.
+    A k's distinct x of the catalogue pass one task, those of the queries are spread over slices. NaN and infinite x,
+    at most three of each k, meet every x of their k.
+    """
+    given, finite = "k is not null and x is not null", F.abs("x") < float("inf")  # NaN is not under infinity
+    # scaled before rounding as DuckDB does; round(x, digits) here would round the shortest decimal form of x
+    score = lambda y: F.round((1 - F.abs(F.col("x") - y) / scale) * 10**digits) / 10**digits
+    q = queries.where(given).select("k", "x").distinct()
+    c = catalogue.where(given).groupBy("k", "x").agg(F.min("id").alias("id"), (F.count("*") > 1).alias("twice"))
+    reach = 1.01 * scale / 10**digits
+    cell = lambda y, width=reach: F.floor(y / width)
+    slice_ = cell(F.col("x"), 32 * reach).alias("slice")
+
+    # a row below all others holds the first two of its k
+    row, by = F.struct(F.col("x").alias("y"), "id", "twice"), Window.partitionBy("k").orderBy("x")
+    listed = c.where(finite).select("k", "x", row.alias("row"))
+    listed = listed.unionByName(listed.select("k").distinct().withColumn("x", F.lit(float("-inf"))), allowMissingColumns=True)
+    held = listed.select("k", "x", slice_, F.array(F.lag("row").over(by), "row", F.lead("row").over(by), F.lead("row", 2).over(by)).alias("around"), F.lit(0).alias("side"))
+
+    def met(seen: DataFrame, asked: DataFrame, *keys: str) -> DataFrame:
+        """Rows asked for, with what is around the last row seen at or under their x."""
+        w = Window.partitionBy(*keys).orderBy("x", "side").rowsBetween(Window.unboundedPreceding, 0)
+        both = seen.unionByName(asked.withColumn("side", F.lit(1)), allowMissingColumns=True)
+        return both.withColumn("around", F.last("around", True).over(w)).where("side = 1 and around is not null")
+
+    asked = q.where(finite).select("k", "x", slice_)
+    starts = met(held, asked.groupBy("k", "slice").agg(F.min("x").alias("x")), "k").withColumn("side", F.lit(0))
+    m = met(held.unionByName(starts), asked, "k", "slice")
+    at = [F.get("around", F.lit(i)) for i in range(4)]
+    m = m.select("k", "x", "around", *[score(a["y"]).alias(f"s{i}") for i, a in enumerate(at)])
+    scores = F.sort_array(F.array(*[f"s{i}" for i in range(4)], *[F.when(a["twice"], F.col(f"s{i}")) for i, a in enumerate(at)]), False)  # nulls last
+    m = m.withColumn("scores", F.slice(scores, 1, 2)).withColumn("s", F.greatest(*[f"s{i}" for i in range(4)]))
+    m = m.withColumn("id", F.least(*[F.when(F.col(f"s{i}") == F.col("s"), a["id"]) for i, a in enumerate(at)]))
+
+    # the outer ones tie too: so may some beyond them
+    beyond = lambda i, step: F.when(F.col(f"s{i}") == F.col("s"), F.array(cell(at[i]["y"]), cell(at[i]["y"]) + step)).otherwise(F.array().cast("array<bigint>"))
+    wide = m.where(F.col("s") >= least).select("k", "x", "scores", F.explode(F.array_distinct(F.concat(beyond(0, -1), beyond(3, 1)))).alias("cell"))
+    ties = wide.join(c.where(finite).select("k", cell(F.col("x")).alias("cell"), F.col("x").alias("y"), "id"), ["k", "cell"]).where(score(F.col("y")) == F.col("scores")[0])
+    firsts = m.select("k", "x", "scores", "id").unionByName(ties.select("k", "x", "scores", "id")).groupBy("k", "x", "scores").agg(F.min("id").alias("id"))
+    pairs = firsts.select("k", "x", "id", F.explode(F.array_compact("scores")).alias("score"))
+
+    every = lambda a, b: a.join(b.withColumnRenamed("x", "y"), "k").select("k", "x", "id", score(F.col("y")).alias("score"), F.explode(F.when(F.col("twice"), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"))
+    odd = every(q, c.where(~finite)).unionByName(every(q.where(~finite), c.where(finite)))
+    odd = top_per_key(odd, ["k", "x"], [F.desc("score"), F.asc_nulls_last("id")], 2)
+    return queries.join(pairs.unionByName(odd.drop("copy")), ["k", "x"]).select("query_id", "id", "score")
+
+
 def best(pairs: DataFrame, least: float = 0.86) -> DataFrame:
     """The best catalogue row of each query at or over a score, ties to the smaller id."""
     return with_runner_up(pairs, ["query_id"], "score", "id").where(F.col("score") >= least)

@@ -1,5 +1,7 @@
 import datetime
+import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,6 +101,44 @@ def test_resolution_meets_every_pair_over_the_floor(spark):
     assert rows(resolve.best(over), "query_id", "id") == [("q1", "c7"), ("q2", "c8")]
 
 
+def _balances(spark, path, customers, suppliers):
+    spark.createDataFrame(customers, "c_custkey long, c_nationkey int, c_acctbal double").write.parquet(f"{path}/customer.parquet")
+    spark.createDataFrame(suppliers, "s_suppkey long, s_nationkey int, s_acctbal double").write.parquet(f"{path}/supplier.parquet")
+    return catalogue.queries()["best_match_margin"](spark, str(path))
+
+
+def test_best_match_margin_equals_its_sql(spark, tmp_path):
+    r = random.Random(3)
+    # halves of the last digit, ties on both sides, repeated balances and keys, one supplier alone, no supplier at all
+    near = lambda: r.choice([0.0, -0.0, 1.0, 10.0, 12.0, 3000.5, None, float("nan"), float("inf")]) if r.random() < 0.1 else float(r.randrange(-40, 40)) if r.random() < 0.6 else round(r.uniform(-999, 9999), 2)
+    customers = [(r.randrange(900) if i % 3 == 0 else 1000 + i, r.choice([None, *range(9)]), near()) for i in range(900)]
+    suppliers = [(r.choice([None, r.randrange(90)]) if i % 20 == 0 else 100 + i, r.choice([None, *range(7), 5, 5]), near() if i % 9 else float(i % 80)) for i in range(400)] + [(9, 7, 12.0)]
+    got = [tuple(x) for x in _balances(spark, tmp_path, customers, suppliers).select("query_id", "id", "score", "runner_up").collect()]
+    con = duckdb.connect()
+    for name in ("customer", "supplier"):
+        con.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    want = con.execute(f"select query_id, id, score, runner_up from ({catalogue.oracle_sql()['best_match_margin']})").fetchall()
+    assert len(want) > 300 and sorted(map(repr, got)) == sorted(map(repr, want))
+
+
+def test_best_match_margin_rounds_halves_as_its_sql(spark, tmp_path):
+    # the score before rounding is 0.9934499999999999, and 9934.5 times 10,000
+    assert rows(_balances(spark, tmp_path, [(1, 0, 549.97)], [(1, 0, 680.97)]), "score") == [(0.9935,)]
+
+
+def test_best_match_margin_forms_no_product(spark, tmp_path):
+    n = 2000
+    d = _balances(spark, tmp_path, [(i, 0, i * 7919 % 999_983 / 100) for i in range(n)], [(i, 0, i * 104_729 % 999_983 / 100) for i in range(n)])
+
+    def most(plan):
+        kind, m = plan.getClass().getSimpleName(), plan.metrics().get("numOutputRows")
+        below = [plan.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [plan.plan()] if kind.endswith("QueryStageExec") else [plan.children().apply(i) for i in range(plan.children().size())]
+        return max([m.get().value() if m.isDefined() else 0, *map(most, below)])
+
+    assert len(d.collect()) > n // 2
+    assert n <= most(d._jdf.queryExecution().executedPlan()) <= 10 * n
+
+
 def test_fuzzy_resolve_meets_every_year_of_a_title(spark, tmp_path):
     spark.createDataFrame([("q1", "Measuring the urban heat of small towns", 2001), ("q2", "Toward food sovereignty with bilingual households", 2001)], "record_id string, title string, report_year int").write.parquet(f"{tmp_path}/publication_candidates.parquet")
     c = [("r1", "Measuring the urban heat of small towns", 1990), ("r2", "Measuring the Urban Heat of Small Towns", 2001), ("r3", "Toward food sovereignty with bilingual household", 1990), ("r4", "Toward food sovereignty with bilingual household", None), ("r5", "Toward food sovereignty with bilingual household", 2002)]
